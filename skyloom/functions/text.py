@@ -11,13 +11,14 @@ NA_TOKENS = ("", "na", "nan", "null", "none", "<na>")
 # Characters that show nothing (U+200B-U+200D and U+FEFF).
 INVISIBLE = "[​-‍﻿]"
 
-# Java's \s covers ASCII only; this class covers every Unicode blank.
-BLANK = r"[\s   -     　\u0085]"
+# Every Unicode blank. Java's \\s and Spark's trim know only some of them.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+BLANK = f"[{BLANKS}]"
 
 
 def strip(c: Column) -> Column:
     """Remove every kind of blank at both ends. Null stays null."""
-    return F.regexp_replace(c, rf"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def canonical_id(c: Column) -> Column:

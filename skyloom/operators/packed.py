@@ -20,15 +20,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.functions.text import BLANK, INVISIBLE, is_na_token, strip
+from skyloom.functions.text import BLANKS, INVISIBLE, is_na_token, strip
 from skyloom.session import Scratch
 
 # The delimiters and quotes that a dialect may use; "s" stands for a run of blanks.
 DELIMITERS = {",": ",，", ";": ";；", "|": "|", "/": "/", "s": None}
 QUOTES = ("\"", "'")
+BRACKETS = "[]{}()"
 
 _PY_BLANK = r"\s\u0085"
-_JAVA_BLANK = BLANK[1:-1]
+_JAVA_BLANK = BLANKS
 
 #: Most shapes in the code book (a bound on what is sent to every task); rarer shapes pay by character, which is exact as well.
 MAX_SHAPES = 4096
@@ -49,8 +50,8 @@ def token_regex(delims: str, quotes: str, blank: str = _JAVA_BLANK) -> str:
 
 def cleaned(field: Column) -> Column:
     """The field without invisible characters, enclosing brackets, and blanks and delimiters (they hold empty values) at its ends."""
-    edge = f"[{_class(''.join(DELIMITERS), _JAVA_BLANK)}" + r"\[\]\{\}\(\)]+"
-    return F.regexp_replace(F.regexp_replace(field, INVISIBLE, ""), f"^{edge}|{edge}$", "")
+    edge = BLANKS + BRACKETS + "".join(c for c in DELIMITERS.values() if c)
+    return F.btrim(F.regexp_replace(field, INVISIBLE, ""), F.lit(edge))
 
 
 def pattern_of(field: Column) -> Column:
@@ -63,7 +64,7 @@ def unquoted(token: Column) -> Column:
     for q in QUOTES:
         body = F.substring(t, F.lit(2), F.length(t) - 2)
         t = F.when(t.startswith(q) & t.endswith(q) & (F.length(t) >= 2), F.regexp_replace(body, q + q, q)).otherwise(t)
-    return strip(F.regexp_replace(strip(t), r"^[\[\{\(]+|[\]\}\)]+$", ""))
+    return F.btrim(t, F.lit(BLANKS + BRACKETS))
 
 
 def _score(codes: dict[str, float], escape: float):

@@ -145,7 +145,6 @@ def _load(batches):
             yield pd.DataFrame({"file_id": p["file_id"].values, "line_no": p["line_no"].values, "reason": [g[1] for g in got], "fields": [g[2] for g in got]})
 
 
-@F.pandas_udf("array<string>")
 def _header_fields(header: pd.Series, delimiter: pd.Series) -> pd.Series:
     return pd.Series([split_record(h, d) or h.replace('"', "").split(d) for h, d in zip(header, delimiter)])
 
@@ -167,7 +166,7 @@ def load_records(lines: DataFrame, files: DataFrame, columns: DataFrame) -> Data
         F.broadcast(columns.select("source", "z_column")), "source", "left"  # one row for each catalog
     )
     info = info.withColumn("delimiter", F.array_max(counts)["c"])
-    info = info.withColumn("names", F.transform(_header_fields("header", "delimiter"), lambda v: strip(F.regexp_replace(v, INVISIBLE, ""))))
+    info = info.withColumn("names", F.transform(F.pandas_udf(_header_fields, "array<string>")("header", "delimiter"), lambda v: strip(F.regexp_replace(v, INVISIBLE, ""))))
     names = F.col("names")
     info = info.select(
         "file_id", "header_no", "delimiter", names.alias("header"), F.size(names).alias("width"),
