@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions.text import nan_to_null, strip
 from skyloom.llm.groups import group_matches
+from skyloom.llm.leaks import find_leaks
 from skyloom.llm.survivors import Field, survivors
 from skyloom.operators.packed import split_packed
 from skyloom.session import table
@@ -80,3 +81,17 @@ piece AS (SELECT *, sum(c) OVER (PARTITION BY group_key ORDER BY z, CRD_ID ROWS
   (SELECT group_key, CRD_ID, z, CASE WHEN z - lag(z) OVER (PARTITION BY group_key ORDER BY z, CRD_ID) > 0.001 THEN 1 ELSE 0 END AS c FROM c2 WHERE z IS NOT NULL)),
 s AS (SELECT group_key, min(CRD_ID) AS CRD_ID FROM piece GROUP BY group_key, p UNION SELECT group_key, CRD_ID FROM c2 WHERE z IS NULL)
 SELECT group_key, CRD_ID, CAST(CASE WHEN count(*) OVER (PARTITION BY group_key) = 1 THEN 1 ELSE 2 END AS INTEGER) AS tie_result FROM s"""
+
+
+@query
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    hits = find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), "doc_id", "text", "item_id", "text")
+    return hits.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id")).distinct()
+
+
+@query
+def p8_passages(spark: SparkSession, d: str) -> DataFrame:
+    """For each document and item: the passages of 25 words or more that agree up to one edit for each such length."""
+    hits = find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), "doc_id", "text", "item_id", "text", words=25, edits=1, exact=False)
+    hits = hits.distinct().groupBy(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
+    return hits.agg(F.count(F.lit(1)).alias("passages"), F.max(F.col("end") - F.col("start")).alias("longest"), F.min("edits").alias("least_edits"))
