@@ -105,8 +105,15 @@ def banded_edits(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """Edits that turn ``a`` into ``b`` along diagonals at most ``band`` off the first; more than ``band`` in length: no alignment."""
     if abs(len(a) - len(b)) > band:
         return 1 << 30
-    if len(a) == len(b) and (a == b).all():
-        return 0
+    least = min(len(a), len(b))
+    other = np.flatnonzero(a[:least] != b[:least])
+    head = int(other[0]) if len(other) else least  # an alignment can leave what both begin or end with
+    a, b, least = a[head:], b[head:], least - head
+    other = np.flatnonzero(a[::-1][:least] != b[::-1][:least])
+    tail = int(other[0]) if len(other) else least
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    if not len(a) or not len(b):
+        return len(a) + len(b)
     off = np.arange(-band, band + 1)
     row = np.where(off >= 0, off, 1 << 29)
     for k in range(1, len(a) + 1):

@@ -9,6 +9,7 @@ from skyloom.functions.text import nan_to_null, strip
 from skyloom.llm.groups import group_matches
 from skyloom.llm.leaks import find_leaks
 from skyloom.llm.survivors import Field, survivors
+from skyloom.llm.truncation import find_truncated
 from skyloom.operators.packed import split_packed
 from skyloom.session import table
 
@@ -95,3 +96,17 @@ def p8_passages(spark: SparkSession, d: str) -> DataFrame:
     hits = find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), "doc_id", "text", "item_id", "text", words=25, edits=1, exact=False)
     hits = hits.distinct().groupBy(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
     return hits.agg(F.count(F.lit(1)).alias("passages"), F.max(F.col("end") - F.col("start")).alias("longest"), F.min("edits").alias("least_edits"))
+
+
+@query
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return find_truncated(table(spark, d, "documents"), "doc_id", "text", "lang").where("truncated").select("doc_id").distinct()
+
+
+@query
+def p9_rates(spark: SparkSession, d: str) -> DataFrame:
+    """How often each source truncates, over its distinct documents."""
+    docs = table(spark, d, "documents")
+    judged = find_truncated(docs, "doc_id", "text", "lang").select("doc_id", "truncated").distinct()
+    rates = docs.select("doc_id", "source").distinct().join(judged, "doc_id").groupBy("source")
+    return rates.agg(F.count(F.lit(1)).alias("documents"), F.count_if("truncated").alias("truncated"), F.avg(F.col("truncated").cast("double")).alias("share"))
