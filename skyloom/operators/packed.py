@@ -122,12 +122,8 @@ def choose_dialects(patterns: DataFrame) -> DataFrame:
     return patterns.mapInPandas(_score(codes, math.log2(total)), "pattern string, n long, delims string, quotes string")
 
 
-def split_packed(df: DataFrame, key: str, field: str) -> DataFrame:
-    """Distinct (key, pos, value) of every value in ``field``; ``pos`` counts the values of a field from 1, repeats included.
-
-    Null, empty and missing-value fields give no rows, nor do empty values within a field. Rows whose key is null are kept with a
-    null key. Repeated rows give their values once. Fields of any length are parsed whole.
-    """
+def packed_values(df: DataFrame, key: str, field: str) -> DataFrame:
+    """(key, values): the values of each row's field in order, rows without values left out; the rest as in ``split_packed``."""
     spark = df.sparkSession
     rows = df.select(F.col(key).alias("key"), cleaned(F.col(field)).alias("field")).where(~is_na_token(F.col("field")))
     rows = rows.withColumn("pattern", pattern_of(F.col("field")))
@@ -147,5 +143,14 @@ def split_packed(df: DataFrame, key: str, field: str) -> DataFrame:
     body = F.when(F.col("delims") == "", F.lit(r"[\s\S]+")).otherwise(F.concat(F.lit("[^"), cls, F.lit("]+")))
     tokens = F.regexp_extract_all("field", F.concat(quote, body), F.lit(0))
     values = F.filter(F.transform(tokens, unquoted), lambda v: ~is_na_token(v))
-    out = joined.select("key", F.posexplode(values).alias("at", "value"))
-    return out.select(F.col("key").alias(key), (F.col("at") + 1).cast("int").alias("pos"), "value").distinct()
+    return joined.select(F.col("key").alias(key), values.alias("values"))
+
+
+def split_packed(df: DataFrame, key: str, field: str) -> DataFrame:
+    """Distinct (key, pos, value) of every value in ``field``; ``pos`` counts the values of a field from 1, repeats included.
+
+    Null, empty and missing-value fields give no rows, nor do empty values within a field. Rows whose key is null are kept with a
+    null key. Repeated rows give their values once. Fields of any length are parsed whole.
+    """
+    out = packed_values(df, key, field).select(key, F.posexplode("values").alias("at", "value"))
+    return out.select(key, (F.col("at") + 1).cast("int").alias("pos"), "value").distinct()
