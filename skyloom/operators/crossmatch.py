@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skyloom.functions.sky import chord, unit_vector
+from skyloom.functions.text import strip
 from skyloom.operators.near import valid_position
 
 #: Side of a cell in units of the radius: wide enough that few rows touch several cells, narrow enough that cells stay small.
@@ -76,7 +77,7 @@ def neighbor_text(pairs: DataFrame) -> DataFrame:
 
 def merge_neighbors(df: DataFrame, found: DataFrame) -> DataFrame:
     """``df`` with ``compared_to`` united with the neighbors of ``found`` (CRD_ID, compared_to): distinct, sorted, without the row itself; null if none."""
-    split = lambda c: F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda v: F.trim(v))
+    split = lambda c: F.transform(F.split(F.coalesce(c, F.lit("")), ","), strip)
     j = df.join(found.withColumnRenamed("compared_to", "found"), "CRD_ID", "left")
     own = F.filter(F.array_union(split(F.col("compared_to")), split(F.col("found"))), lambda v: (v != "") & (v != F.col("CRD_ID")))
     merged = F.array_join(F.array_sort(own), ", ")

@@ -20,28 +20,34 @@ def type_score(kind: Column, order: Mapping[str, int] = TYPE_ORDER) -> Column:
     return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in order.items() for x in kv]), strip(kind)), F.lit(0))
 
 
-def priority_survivors(df: DataFrame, group: str, scores: Sequence[Column], competes: Column) -> Column:
-    """Whether a row competes and holds the largest scores of its group, the first score first; null and NaN are lowest.
-
-    The group's best is one value found by a partial aggregate and a join, so that a huge group costs no huge sort.
-    """
+def priority_key(scores: Sequence[Column], competes: Column) -> Column:
+    """A struct that is larger for better scores, the first score first; null and NaN are lowest; null for rows that don't compete."""
     best = F.struct(*[F.coalesce(F.when(~F.isnan(s.cast("double")), s.cast("double")), F.lit(float("-inf"))).alias(f"s{i}") for i, s in enumerate(scores)])
     return F.when(competes, best)
 
 
-def collapse_close(df: DataFrame, group: str, z: str, key: str, gap: float) -> DataFrame:
-    """The rows of ``df`` that stand for their cluster: z sorted within the group, cut where neighbors differ by more than ``gap``.
+def pieces(rows: DataFrame, gap: float) -> DataFrame:
+    """(group, id, x) -> (group, id): x sorted within each group and cut where neighbors differ by more than ``gap``; the smallest id of each piece.
 
-    The smallest key of each cluster stays; rows without z all stay; a gap of 0 or less keeps every row.
+    Equal x are one before they are sorted, and a group is scanned in bands of x that are joined afterwards, so that no task sorts a
+    whole group. Rows with null or NaN x all stay, and so do all rows if ``gap`` is 0 or less.
     """
     if gap <= 0:
-        return df
-    fixed = F.col(z).isNotNull() & ~F.isnan(z)
-    order = W.partitionBy(group).orderBy(z, key)
-    cut = F.coalesce((F.col(z) - F.lag(z).over(order) > gap).cast("int"), F.lit(0))
-    clusters = df.where(fixed).withColumn("_cut", cut).withColumn("_cluster", F.sum("_cut").over(order.rowsBetween(W.unboundedPreceding, 0)))
-    stays = clusters.withColumn("_first", F.min(key).over(W.partitionBy(group, "_cluster"))).where(F.col(key) == F.col("_first"))
-    return stays.select(*df.columns).unionAll(df.where(~fixed))
+        return rows.select("group", "id")
+    loose = rows.where(F.col("x").isNull() | F.isnan("x")).select("group", "id")
+    fixed = rows.where(F.col("x").isNotNull() & ~F.isnan("x"))
+    points = fixed.groupBy("group", "x").agg(F.min("id").alias("id")).withColumn("band", F.floor(F.col("x") / (1000 * gap)))
+    inside = W.partitionBy("group", "band").orderBy("x")
+    points = points.withColumn("cut", (F.col("x") - F.lag("x").over(inside) > gap).cast("int"))
+    points = points.withColumn("cuts", F.sum(F.coalesce("cut", F.lit(0))).over(inside.rowsBetween(W.unboundedPreceding, 0)))
+    over = W.partitionBy("group").orderBy("band")
+    bands = points.groupBy("group", "band").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.max("cuts").alias("cuts"))
+    first = F.coalesce((F.col("lo") - F.lag("hi").over(over) > gap).cast("int"), F.lit(0))
+    bands = bands.select("group", "band", "cuts", first.alias("first"))
+    before = F.sum(F.col("cuts") + F.col("first")).over(over.rowsBetween(W.unboundedPreceding, 0)) - F.col("cuts")
+    joined = points.select("group", "band", "cuts", "id").join(bands.select("group", "band", before.alias("before")), ["group", "band"])
+    kept = joined.groupBy("group", F.col("cuts") + F.col("before")).agg(F.min("id").alias("id")).select("group", "id")
+    return kept.unionAll(loose)
 
 
 def deduplicate(df: DataFrame, priorities: Sequence[str], gap: float = 0.0, type_order: Mapping[str, int] = TYPE_ORDER, restore: bool = True) -> DataFrame:
@@ -66,10 +72,10 @@ def deduplicate(df: DataFrame, priorities: Sequence[str], gap: float = 0.0, type
     rows = df.where(key.isNotNull()).groupBy(key.alias("CRD_ID")).agg(F.min(F.struct(*[F.col(c) for c in wanted], came.alias("came"))).alias("r")).select("CRD_ID", "r.*")
     rows = rows.join(groups(df), "CRD_ID").withColumn("star", is_star(F.col("z_flag_homogenized")))
     scores = [type_score(F.col(c), type_order) if dict(df.dtypes)[c] == "string" else F.col(c) for c in priorities]
-    rows = rows.withColumn("score", priority_survivors(rows, "group", scores, ~F.col("star")))
+    rows = rows.withColumn("score", priority_key(scores, ~F.col("star")))
     best = rows.groupBy("group").agg(F.max("score").alias("best"), F.count(F.lit(1)).alias("size"))
     rows = rows.join(best, "group")
-    leaders = collapse_close(rows.where("score = best").select("group", "CRD_ID", "z"), "group", "z", "CRD_ID", gap).select("CRD_ID", F.lit(True).alias("stays"))
+    leaders = pieces(rows.where("score = best").select("group", F.col("CRD_ID").alias("id"), F.col("z").alias("x")), gap).select(F.col("id").alias("CRD_ID"), F.lit(True).alias("stays"))
     rows = rows.join(leaders, "CRD_ID", "left").withColumn("stays", F.coalesce("stays", F.lit(False)))
     counts = rows.groupBy("group").agg(F.count_if("stays").alias("k"))
     rows = rows.join(counts, "group")

@@ -29,7 +29,7 @@ NORMALIZED = ("id", "ra", "dec", "z", "z_flag", "z_err", "survey", "instrument_t
 def confidence_flag(c: Column) -> Column:
     """0 for 0, 1 for (0, 0.7), 2 for [0.7, 0.9), 3 for [0.9, 0.99), 4 for [0.99, 1]; null for null, NaN and anything outside."""
     out = F.when(c == 0, 0.0).when((c > 0) & (c < CONFIDENCE[-1][0]), 1.0)
-    for low, flag in reversed(CONFIDENCE):
+    for low, flag in CONFIDENCE:
         out = out.when((c >= low) & (c <= 1), flag)
     return F.when(~F.isnan(c), out)
 

@@ -160,7 +160,7 @@ def load_records(lines: DataFrame, files: DataFrame, columns: DataFrame) -> Data
     text = lines.select("file_id", "line_no", clean_line(F.col("line")).alias("line"))
     text = text.where(F.col("line").isNotNull() & (strip(F.col("line")) != "") & ~F.ltrim("line").startswith("#"))
     header = text.groupBy("file_id").agg(F.min("line_no").alias("header_no"), F.min_by("line", "line_no").alias("header"))
-    bare = F.regexp_replace("header", r'"[^"]*(?:""[^"]*)*"', "")
+    bare = F.regexp_replace("header", r'"[^"]*+(?:""[^"]*+)*+"', "")
     counts = F.array(*[F.struct((F.length(bare) - F.length(F.replace(bare, F.lit(c)))).alias("n"), F.lit(-i).alias("i"), F.lit(c).alias("c")) for i, c in enumerate(DELIMITERS)])
     info = header.join(files.select("file_id", "source", "format", "file_name").dropDuplicates(["file_id"]), "file_id", "left").join(
         F.broadcast(columns.select("source", "z_column")), "source", "left"  # one row for each catalog

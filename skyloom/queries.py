@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyloom.plans import problem_queries
+from skyloom.plans import catalog_queries, problem_queries
 
-QUERIES = {**problem_queries.QUERIES}
-SQL = {**problem_queries.SQL}
+QUERIES = catalog_queries.QUERIES | problem_queries.QUERIES
+SQL = catalog_queries.SQL | problem_queries.SQL
