@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.functions.text import BLANKS, INVISIBLE, is_na_token, strip
+from skyloom.functions.text import BLANKS, INVISIBLE, NA_TOKENS, is_na_token, strip
 from skyloom.session import Scratch
 
 # The delimiters and quotes that a dialect may use; "s" stands for a run of blanks.
@@ -31,6 +31,9 @@ BRACKETS = "[]{}()"
 _PY_BLANK = r"\s\u0085"
 _JAVA_BLANK = BLANKS
 
+#: Signs that may cling to a value besides the common blanks: brackets and the other blanks.
+_UNUSUAL = "[\\[\\]{}()" + "".join(c for c in BLANKS if c not in " \t\r\n\xa0") + "]"
+
 #: Most shapes in the code book (a bound on what is sent to every task); rarer shapes pay by character, which is exact as well.
 MAX_SHAPES = 4096
 #: Most distinct patterns that are broadcast; beyond it rows and patterns meet in a shuffled join.
@@ -42,10 +45,13 @@ def _class(delims: str, blank: str) -> str:
 
 
 def token_regex(delims: str, quotes: str, blank: str = _JAVA_BLANK) -> str:
-    """What a dialect takes for one value: a quoted run (a doubled quote counts as one) or a run without delimiters."""
-    quoted = "".join(f"[{blank}]*{q}[^{q}]*(?:{q}{q}[^{q}]*)*{q}|" for q in quotes)
-    body = f"[^{_class(delims, blank)}]+" if delims else r"[\s\S]+"
-    return f"{quoted}{body}"
+    """What a dialect takes for one value: a quoted run (a doubled quote counts as one) or a run without delimiters and outer blanks.
+
+    Repeats are possessive: they can't match otherwise, and Java tries them without recursion, however long the field.
+    """
+    quoted = "".join(f"{q}[^{q}]*+(?:{q}{q}[^{q}]*+)*+{q}|" for q in quotes)
+    run = f"[^{_class(delims.replace('s', ''), blank)}{blank}]++"
+    return f"{quoted}{run}" if "s" in delims else f"{quoted}{run}(?:[{blank}]++{run})*+"
 
 
 def cleaned(field: Column) -> Column:
@@ -87,7 +93,7 @@ def _score(codes: dict[str, float], escape: float):
             else:
                 value = token
             total += 1.0 + (codes[value] if value in codes else escape + 7.0 * len(value))
-        return total + (len(pattern) - covered) * math.log2(2 + len(d))
+        return total + 3.0 * (len(pattern) - covered)  # separators, at the same cost under every dialect
 
     def best(pattern: str) -> tuple[str, str]:
         present = [d for d in DELIMITERS if (re.search(rf"[{_PY_BLANK}]", pattern) if d == "s" else any(c in pattern for c in DELIMITERS[d]))]
@@ -102,13 +108,20 @@ def _score(codes: dict[str, float], escape: float):
     def over(batches):
         for pdf in batches:
             chosen = [best(p) for p in pdf["pattern"]]
-            yield pd.DataFrame({"pattern": pdf["pattern"], "n": pdf["n"], "delims": [d for d, _ in chosen], "quotes": [q for _, q in chosen]})
+            yield pd.DataFrame({
+                "pattern": pdf["pattern"],
+                "signs": ["".join(BLANKS if c == "s" else DELIMITERS[c] for c in d) for d, _ in chosen],
+                "regex": [token_regex(d, q) if q else None for d, q in chosen],
+            })
 
     return over
 
 
 def choose_dialects(patterns: DataFrame) -> DataFrame:
-    """(pattern, n) -> (pattern, n, delims, quotes): the cheapest dialect of each pattern."""
+    """(pattern, n) -> (pattern, signs, regex): the cheapest dialect of each pattern.
+
+    ``signs`` are the characters that separate; ``regex`` finds the values, and is null for dialects without quotes.
+    """
     finest = token_regex("".join(DELIMITERS), "".join(QUOTES))
     shapes = (
         patterns.select("n", F.explode(F.regexp_extract_all("pattern", F.lit(finest), F.lit(0))).alias("token"))
@@ -119,30 +132,29 @@ def choose_dialects(patterns: DataFrame) -> DataFrame:
     top = shapes.orderBy(F.desc("n"), "shape").limit(MAX_SHAPES).collect()
     total = sum(r["n"] for r in top) + 1
     codes = {r["shape"]: -math.log2(r["n"] / total) for r in top}
-    return patterns.mapInPandas(_score(codes, math.log2(total)), "pattern string, n long, delims string, quotes string")
+    return patterns.mapInPandas(_score(codes, math.log2(total)), "pattern string, signs string, regex string")
 
 
 def packed_values(df: DataFrame, key: str, field: str) -> DataFrame:
     """(key, values): the values of each row's field in order, rows without values left out; the rest as in ``split_packed``."""
     spark = df.sparkSession
-    rows = df.select(F.col(key).alias("key"), cleaned(F.col(field)).alias("field")).where(~is_na_token(F.col("field")))
+    rows = df.select(F.col(key).alias("key"), cleaned(F.col(field)).alias("field")).where(F.col("field").isNotNull() & ~F.lower("field").isin(*NA_TOKENS))
     rows = rows.withColumn("pattern", pattern_of(F.col("field")))
     patterns = rows.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
     scratch = Scratch(spark, "packed")
     chosen = scratch.keep(choose_dialects(scratch.keep(patterns)))
-    chosen = chosen.select("pattern", "delims", "quotes")
     if chosen.count() <= MAX_BROADCAST_PATTERNS:
         chosen = F.broadcast(chosen)
     joined = rows.join(chosen, "pattern")
-    blank, quote = F.lit(_JAVA_BLANK), F.lit("")
-    cls = F.lit("")
-    for d, chars in DELIMITERS.items():
-        cls = F.concat(cls, F.when(F.contains("delims", F.lit(d)), blank if d == "s" else F.lit(re.escape(chars))).otherwise(""))
-    for q in QUOTES:
-        quote = F.concat(quote, F.when(F.contains("quotes", F.lit(q)), F.lit(f"[{_JAVA_BLANK}]*{q}[^{q}]*(?:{q}{q}[^{q}]*)*{q}|")).otherwise(""))
-    body = F.when(F.col("delims") == "", F.lit(r"[\s\S]+")).otherwise(F.concat(F.lit("[^"), cls, F.lit("]+")))
-    tokens = F.regexp_extract_all("field", F.concat(quote, body), F.lit(0))
-    values = F.filter(F.transform(tokens, unquoted), lambda v: ~is_na_token(v))
+    # Without quotes and brackets every separator separates, and what lies between is a value as it stands. Patterns that differ from
+    # row to row are slow, so separators become one sign, which a constant pattern splits at.
+    marked = F.expr("translate(field, signs, repeat('\u0001', char_length(signs)))")
+    plain = F.split(marked, "[ \t\r\n\xa0]*+\u0001[ \t\r\n\xa0\u0001]*+")
+    quoted = F.filter(F.transform(F.regexp_extract_all("field", F.col("regex"), F.lit(0)), unquoted), lambda v: v != "")
+    bare = F.filter(F.transform(plain, unquoted), lambda v: v != "")
+    values = F.when(F.col("regex").isNotNull(), quoted).when(F.col("field").rlike(_UNUSUAL), bare).otherwise(plain)
+    # Only fields with the letters of a missing-value token can hold one.
+    values = F.when(F.lower("field").rlike("na|null|none"), F.filter(values, lambda v: ~is_na_token(v))).otherwise(values)
     return joined.select(F.col("key").alias(key), values.alias("values"))
 
 
