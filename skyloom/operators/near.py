@@ -109,7 +109,7 @@ def cap_triangles(center: np.ndarray, radius: float, corners: int = 4) -> np.nda
 
 
 class TriangleTree:
-    """A bounding-volume hierarchy over triangles (n, 3, 3); boxes are grown by ``slack`` to hold the arcs between the vertices."""
+    """A bounding-volume hierarchy over triangles (n, 3, 3); boxes are grown by ``slack``, as the sphere bulges from the plane of a triangle."""
 
     WIDTH = 4
 
@@ -268,7 +268,7 @@ def pairs_within(df: DataFrame, key: str, ra: str, dec: str, radius_arcsec: floa
         center = unit(t.column("ra").to_numpy(), t.column("dec").to_numpy())
         tri = cap_triangles(center, radius)
         ids = t.column("id").combine_chunks()
-        return TriangleTree(tri.reshape(-1, 3, 3), 1e-12), tri.shape[1], center, pa.chunked_array([ids]).combine_chunks()
+        return TriangleTree(tri.reshape(-1, 3, 3), 2 * radius * radius + 1e-15), tri.shape[1], center, pa.chunked_array([ids]).combine_chunks()
 
     def probe(tree, b):
         bvh, per, center, ids = tree

@@ -243,6 +243,6 @@ def prepare(df: DataFrame, catalog: Catalog, rules: Mapping[str, Mapping], cut=N
         elif kind == "boolean":  # only real truth values are
             cols.append((F.col(name) if dict(out.dtypes)[name] == "boolean" else F.lit(None).cast("boolean")).alias(name))
         else:
-            cols.append((F.col(name) if kind == "string" else F.col(name).cast("string").try_cast("double")).cast(kind).alias(name))
+            cols.append((F.col(name).cast("string") if kind == "string" else number(F.col(name)).try_cast(kind)).alias(name))
     cols += [F.col(f"`{c}`") for c in keep if c in out.columns and c not in OUTPUT and c not in catalog.extra]
     return out.select(*cols)
