@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from skyloom.functions.text import nan_to_null, strip
 from skyloom.llm.groups import group_matches
 from skyloom.llm.leaks import find_leaks
+from skyloom.llm.packing import count_tokens, pack
 from skyloom.llm.survivors import Field, survivors
 from skyloom.llm.truncation import find_truncated
-from skyloom.operators.packed import split_packed
+from skyloom.operators.packed import packed_values
 from skyloom.session import table
 
 QUERIES = {}
@@ -23,12 +24,10 @@ def query(f):
 
 
 def _groups(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "crd_catalog")
-    star = F.coalesce(F.col("z_flag_homogenized") == 6, F.lit(False))
-    able = rows.groupBy("CRD_ID").agg(F.max(star).alias("star")).where("not star").select(F.col("CRD_ID").alias("able"))
-    named = split_packed(rows.where(~star), "CRD_ID", "compared_to")
-    pairs = named.join(able, F.col("value") == F.col("able"), "left_semi").join(able, F.col("CRD_ID") == F.col("able"), "left_semi")
-    return group_matches(pairs, "CRD_ID", "value")
+    """Groups of the rows that aren't stars: flag 6 links nothing, neither from its own row nor from another."""
+    rows = table(spark, d, "crd_catalog").where(~F.coalesce(F.col("z_flag_homogenized") == 6, F.lit(False)))
+    named = packed_values(rows, "CRD_ID", "compared_to").select("CRD_ID", F.explode("values").alias("value"))
+    return group_matches(named.join(rows.select(F.col("CRD_ID").alias("value")), "value", "left_semi"), "CRD_ID", "value")
 
 
 @query
@@ -56,13 +55,13 @@ f AS (
   SELECT DISTINCT CRD_ID,
     regexp_replace(regexp_replace(compared_to, '[\x{200B}-\x{200D}\x{FEFF}]', '', 'g'),
       '^[\s\x{A0},，;；|/\[\]{}()]+|[\s\x{A0},，;；|/\[\]{}()]+$', '', 'g') AS s
-  FROM crd_catalog WHERE compared_to IS NOT NULL),
+  FROM crd_catalog WHERE compared_to IS NOT NULL AND NOT coalesce(z_flag_homogenized = 6, false)),
 t AS (
   SELECT CRD_ID AS a, unnest(list_transform(
     regexp_extract_all(s, '"[^"]*(?:""[^"]*)*"|''[^'']*(?:''''[^'']*)*''|[^\s\x{A0},，;；|/]+'),
     lambda v: trim(CASE WHEN v[1] = '"' THEN replace(v[2:-2], '""', '"') WHEN v[1] = '''' THEN replace(v[2:-2], '''''', '''') ELSE v END))) AS b
   FROM f),
-able AS (SELECT CRD_ID FROM crd_catalog GROUP BY CRD_ID HAVING NOT bool_or(coalesce(z_flag_homogenized = 6, false))),
+able AS (SELECT CRD_ID FROM crd_catalog WHERE NOT coalesce(z_flag_homogenized = 6, false)),
 e AS (SELECT DISTINCT a, b FROM t WHERE a <> b AND a IN (SELECT CRD_ID FROM able) AND b IN (SELECT CRD_ID FROM able)),
 both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, w.b FROM reach r JOIN both_ways w ON r.b = w.a),
@@ -110,3 +109,9 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     judged = find_truncated(docs, "doc_id", "text", "lang").select("doc_id", "truncated").distinct()
     rates = docs.select("doc_id", "source").distinct().join(judged, "doc_id").groupBy("source")
     return rates.agg(F.count(F.lit(1)).alias("documents"), F.count_if("truncated").alias("truncated"), F.avg(F.col("truncated").cast("double")).alias("share"))
+
+
+@query
+def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+    """The place of each document in containers of 2,048 tokens."""
+    return pack(count_tokens(table(spark, d, "documents"), "doc_id", "text"), "doc_id", "tokens", 2048)
