@@ -345,3 +345,33 @@ def points_in_regions(points: DataFrame, regions: DataFrame, key: str, ra: str,
     if unique:
         found = found.groupBy("id").agg(F.min("region").alias("region"))
     return found.select(F.col("id").alias(key), F.col("region").alias(region))
+
+
+def field_polygons(df: DataFrame, field: str, ra: str, dec: str, corners: int = 8) -> DataFrame:
+    """(field, ring): for each field a polygon about the mean position of its rows that holds them all.
+
+    Fields wider than 45 degrees about their mean, or without valid positions, have none. The mean and the reach are two aggregates;
+    no field's rows are gathered.
+    """
+    rows = df.where(F.col(field).isNotNull() & valid_position(F.col(ra), F.col(dec))).select(F.col(field).alias("f"), *[c.alias(n) for c, n in zip(_vector(F.col(ra), F.col(dec)), "xyz")])
+    mean = rows.groupBy("f").agg(*[F.avg(c).alias(f"m{c}") for c in "xyz"])
+    length = F.sqrt(F.col("mx") * F.col("mx") + F.col("my") * F.col("my") + F.col("mz") * F.col("mz"))
+    mean = mean.where(length > 1e-6).select("f", *[(F.col(f"m{c}") / length).alias(f"m{c}") for c in "xyz"])
+    dot = F.col("x") * F.col("mx") + F.col("y") * F.col("my") + F.col("z") * F.col("mz")
+    reach = rows.join(mean, "f").groupBy("f", "mx", "my", "mz").agg(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.min(dot)))).alias("r"))
+    reach = reach.where(F.col("r") < math.pi / 4)
+    # Corners at an angle that keeps the sides outside the circle of the farthest row.
+    out = F.atan(F.tan(F.col("r") * 1.001 + 1e-9) / math.cos(math.pi / corners))
+    d0, a0 = F.asin(F.col("mz")), F.atan2("my", "mx")
+    ring = []
+    for k in range(corners):
+        t = 2 * math.pi * k / corners
+        d1 = F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.sin(d0) * F.cos(out) + F.cos(d0) * F.sin(out) * math.cos(t))))
+        a1 = a0 + F.atan2(math.sin(t) * F.sin(out) * F.cos(d0), F.cos(out) - F.sin(d0) * F.sin(d1))
+        ring.append(F.struct(F.pmod(F.degrees(a1), F.lit(360.0)).alias("ra"), F.degrees(d1).alias("dec")))
+    return reach.select(F.col("f").alias(field), F.array(*ring).alias("ring"))
+
+
+def _vector(ra: Column, dec: Column) -> tuple[Column, Column, Column]:
+    a, d = F.radians(ra), F.radians(dec)
+    return F.cos(d) * F.cos(a), F.cos(d) * F.sin(a), F.sin(d)

@@ -177,7 +177,7 @@ def domain_check(spark, d):
 # ------------------------------------------------------------------ positions
 
 _XYZ = "cos(radians(dec)) * cos(radians(ra)) AS x, cos(radians(dec)) * sin(radians(ra)) AS y, sin(radians(dec)) AS z3"
-_VALID = "ra >= 0 AND ra < 360 AND dec >= -90 AND dec <= 90"
+_VALID = "NOT isnan(ra) AND NOT isnan(dec) AND ra >= 0 AND ra < 360 AND dec >= -90 AND dec <= 90"
 
 
 @query("SELECT CRD_ID, ra, dec, CAST(coalesce(" + " OR ".join(

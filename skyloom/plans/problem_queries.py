@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions.text import na_to_null
 from skyloom.operators.drift import Drift
-from skyloom.operators.near import pairs_within
+from skyloom.operators.near import field_polygons, pairs_within, points_in_regions
 from skyloom.operators.packed import split_packed
 from skyloom.operators.rejects import load_records
 from skyloom.session import table
@@ -51,7 +51,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 SQL["p4_found"] = """
 WITH v AS (
   SELECT DISTINCT CRD_ID, cos(radians(dec)) * cos(radians(ra)) AS x, cos(radians(dec)) * sin(radians(ra)) AS y, sin(radians(dec)) AS z
-  FROM crd_catalog WHERE CRD_ID IS NOT NULL AND ra >= 0 AND ra < 360 AND dec >= -90 AND dec <= 90),
+  FROM crd_catalog WHERE CRD_ID IS NOT NULL AND NOT isnan(ra) AND NOT isnan(dec) AND ra >= 0 AND ra < 360 AND dec >= -90 AND dec <= 90),
 c AS (SELECT *, floor(x * 1e5) AS cx, floor(y * 1e5) AS cy, floor(z * 1e5) AS cz FROM v),
 n AS (
   SELECT c.*, cx + i AS nx, cy + j AS ny, cz + k AS nz
@@ -92,3 +92,11 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 def p2_table(spark: SparkSession, d: str) -> DataFrame:
     drift = _drift(spark, d)
     return drift.table(drift.changes())
+
+
+@query
+def p4_regions(spark: SparkSession, d: str) -> DataFrame:
+    """The observed fields, as polygons about their rows, that contain each row of the catalog, whatever field it names."""
+    rows = table(spark, d, "crd_catalog").select("CRD_ID", "obs_field", "ra", "dec")
+    regions = field_polygons(rows, "obs_field", "ra", "dec")
+    return points_in_regions(rows, regions, "CRD_ID", "ra", "dec", "obs_field", "ring")

@@ -114,3 +114,14 @@ def test_regions_against_brute_force(spark, monkeypatch, leaf):
         with np.errstate(divide="ignore", invalid="ignore"):
             inside ^= crosses & (q[:, 0] < (b[0] - a[0]) * (q[:, 1] - a[1]) / (b[1] - a[1]) + a[0])
     assert got == set(np.flatnonzero(inside))
+
+
+def test_field_polygons_hold_their_rows(spark, data):
+    from skyloom.plans.problem_queries import p4_regions
+    from skyloom.session import table
+
+    rows = table(spark, data, "crd_catalog").where("ra >= 0 and ra < 360 and dec between -90 and 90 and obs_field is not null").select("CRD_ID", "obs_field").distinct()
+    got = p4_regions(spark, data)
+    fields = got.select("obs_field").distinct()
+    lost = rows.join(fields, "obs_field").join(got, ["CRD_ID", "obs_field"], "left_anti")
+    assert lost.count() == 0 and fields.count() > 0
