@@ -38,6 +38,8 @@ _UNUSUAL = "[\\[\\]{}()" + "".join(c for c in BLANKS if c not in " \t\r\n\xa0")
 MAX_SHAPES = 4096
 #: Most distinct patterns that are broadcast; beyond it rows and patterns meet in a shuffled join.
 MAX_BROADCAST_PATTERNS = 20_000
+#: Parts of each pattern's rows in that join.
+SALTS = 16
 
 
 def _class(delims: str, blank: str) -> str:
@@ -144,8 +146,10 @@ def packed_values(df: DataFrame, key: str, field: str) -> DataFrame:
     scratch = Scratch(spark, "packed")
     chosen = scratch.keep(choose_dialects(scratch.keep(patterns)))
     if chosen.count() <= MAX_BROADCAST_PATTERNS:
-        chosen = F.broadcast(chosen)
-    joined = rows.join(chosen, "pattern")
+        joined = rows.join(F.broadcast(chosen), "pattern")
+    else:  # one pattern may hold a third of all rows
+        salted = rows.withColumn("salt", F.pmod(F.xxhash64("key", "field"), F.lit(SALTS)).cast("int"))
+        joined = salted.join(chosen.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["pattern", "salt"])
     # Without quotes and brackets every separator separates, and what lies between is a value as it stands. Patterns that differ from
     # row to row are slow, so separators become one sign, which a constant pattern splits at.
     marked = F.expr("translate(field, signs, repeat('\u0001', char_length(signs)))")

@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from skyloom.operators import packed
 from skyloom.operators.packed import split_packed
 from skyloom.plans.problem_queries import p1_found
 from skyloom.session import table
@@ -14,7 +15,9 @@ def split(spark, rows, schema="CRD_ID string, compared_to string"):
     return sorted((tuple(r) for r in out), key=repr)
 
 
-def test_writings(spark):
+@pytest.mark.parametrize("most", [20_000, 0])
+def test_writings(spark, monkeypatch, most):
+    monkeypatch.setattr(packed, "MAX_BROADCAST_PATTERNS", most)
     rows = [
         ("a", "X1, X2"), ("b", "X1;;X2|X3 X4"), ("c", '"X 1, b", X2'), ("d", "['X1', 'X2']"), ("e", '"MASK ""6,B""" / X1'), ("f", "{X1,X1}"),
         ("g", "​X1﻿ ；X2"), ("h", "X1, null,, <NA>,X2"), ("i", ';["X1"],'), ("j", "{A1,B2},C3"),
