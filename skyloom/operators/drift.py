@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from skyloom.functions.text import is_na_token, number, strip
 from skyloom.session import Scratch
 
+#: The typed columns of the consistent table.
+TYPES = {"id": "string", "ra": "double", "dec": "double", "z": "double", "z_flag": "double", "z_err": "double", "survey": "string"}
+
 
 def path_values(rows: DataFrame, file: str, row: str, payload: str) -> DataFrame:
     """(file, row, field, value, type): one row for each field of each JSON object, names case-sensitive.
@@ -69,7 +72,7 @@ class Drift:
         order = W.partitionBy("series").orderBy("release_no", "file_id")
         self.files = (
             files.dropDuplicates(["file_id"]).join(present, F.col("file_id") == F.col("file"), "left_semi")
-            .select("file_id", "series", "source", F.when(F.col("series").isNotNull(), F.lag("file_id").over(order)).alias("prev"))
+            .select("file_id", "series", "source", "release_no", F.when(F.col("series").isNotNull(), F.lag("file_id").over(order)).alias("prev"))
         )
         self.pairs = self.files.where("prev is not null").select(F.col("file_id").alias("file"), "prev")
 
@@ -129,7 +132,7 @@ class Drift:
         return out.select(F.col("pair").alias("file_id"), "change", F.col("old").alias("old_field"), F.col("new").alias("new_field"))
 
     def lineage(self, changes: DataFrame) -> DataFrame:
-        """(file, field, origin): the name under which a field first appeared in its series, followed through renames.
+        """(file, field, origin, first): the name under which a field first appeared in its series, followed through renames, and the file.
 
         Links to the file before are shortened to links to the origin by pointer doubling, so that a series of n files takes log n rounds.
         """
@@ -150,25 +153,42 @@ class Drift:
             moved = jumped.join(links, ["file", "field", "to_file", "to_field"], "left_anti").isEmpty()
             links = jumped
             if moved:
-                return links.select("file", "field", F.col("to_field").alias("origin"))
+                return links.select("file", "field", F.col("to_field").alias("origin"), F.col("to_file").alias("first"))
+
+    def _placed(self, changes: DataFrame) -> DataFrame:
+        """(file, field, origin, column) of every field; ``column`` is null for fields that no typed column takes.
+
+        If several fields of a file have the origin of a column, the one that has been there longest takes it.
+        """
+        names = [F.struct(F.lit(c).alias("column"), F.col(f"{c}_column").alias("origin")) for c in TYPES]
+        mapping = self.columns.select("source", F.explode(F.array(*names)).alias("m")).select("source", "m.column", "m.origin").where("origin is not null").distinct()
+        files = self.files.select(F.col("file_id").alias("file"), "source")
+        first = self.files.select(F.col("file_id").alias("first"), "release_no")
+        to = self.lineage(changes).join(files, "file", "left").join(first, "first", "left").join(F.broadcast(mapping), ["source", "origin"], "left")
+        rank = F.row_number().over(W.partitionBy("file", "column").orderBy(F.asc_nulls_last("release_no"), "first", "field"))
+        return to.select("file", "field", "origin", F.when(rank == 1, F.col("column")).alias("column"))
 
     def table(self, changes: DataFrame) -> DataFrame:
-        """Every row once, in one schema: (row_id, file_id, id, ra, dec, z, z_flag, z_err, survey, failed).
+        """Every row once, in one schema: (row_id, file_id, id, ra, dec, z, z_flag, z_err, survey, other, failed).
 
-        A field goes to the column that its name at its first appearance is mapped to. Values that a column's type can't hold are
-        null and listed in ``failed`` as ``column=value``. Rows whose payload is no JSON object have all columns null.
+        A field goes to the column that its name at its first appearance is mapped to. The values of all other fields are in ``other``,
+        an array in order of (origin, field, value, type), which unlike a map keeps two fields of one origin apart and can be compared.
+        Values that a column's type can't hold are null and listed in ``failed`` as ``column=value``. Rows whose payload is no JSON
+        object have all columns null; the payload, unless missing, is in ``failed`` as ``payload=text``.
         """
-        types = {"id": "string", "ra": "double", "dec": "double", "z": "double", "z_flag": "double", "z_err": "double", "survey": "string"}
-        names = [F.struct(F.lit(c).alias("column"), F.col(f"{c}_column").alias("origin")) for c in types]
-        mapping = self.columns.select("source", F.explode(F.array(*names)).alias("m")).select("source", "m.column", "m.origin").where("origin is not null")
-        to = self.lineage(changes).join(self.files.select(F.col("file_id").alias("file"), "source"), "file").join(F.broadcast(mapping), ["source", "origin"]).select("file", "field", "column")
-        v = self.values.where("value is not null").join(to, ["file", "field"])
+        v = self.values.where("value is not null").join(self._placed(changes), ["file", "field"])
         typed, failed = [], []
-        for c, t in types.items():
+        for c, t in TYPES.items():
             here = F.when(F.col("column") == c, F.col("value"))
             typed.append(F.max(here if t == "string" else number(here)).alias(c))
             if t != "string":
                 failed.append(F.max(F.when((F.col("column") == c) & number(F.col("value")).isNull(), F.concat(F.lit(f"{c}="), F.col("value")))))
-        wide = v.groupBy("row").agg(*typed, F.array_compact(F.array(*failed)).alias("failed"))
-        return self.rows.select("row_id", "file_id").join(wide, F.col("row_id") == F.col("row"), "left").drop("row").withColumn("failed", F.coalesce(F.array_join("failed", ";"), F.lit("")))
-
+        other = F.array_sort(F.collect_set(F.when(F.col("column").isNull(), F.struct("origin", "field", "value", "type")))).alias("other")
+        wide = v.groupBy("row").agg(*typed, other, F.array_compact(F.array(*failed)).alias("failed"))
+        whole = F.try_parse_json("payload")
+        is_object = F.coalesce(F.schema_of_variant(whole).startswith("OBJECT"), F.lit(False))
+        no_object = F.when(~is_object & ~is_na_token(F.col("payload")), F.concat(F.lit("payload="), F.col("payload")))
+        rows = self.rows.select("row_id", "file_id", no_object.alias("no_object"))
+        out = rows.join(wide, F.col("row_id") == F.col("row"), "left").drop("row")
+        out = out.withColumn("other", F.coalesce("other", F.array().cast(wide.schema["other"].dataType)))
+        return out.withColumn("failed", F.coalesce("no_object", F.array_join("failed", ";"), F.lit(""))).drop("no_object")

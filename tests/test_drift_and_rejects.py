@@ -1,3 +1,5 @@
+import json
+
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -31,6 +33,37 @@ def test_changes_and_table(spark):
     assert len(table) == 6 and table[0]["z"] == 0.5 and table[3]["failed"] == "z=bad" and table[4]["ra"] is None and table[2]["id"] == "7"
 
 
+def test_every_value_is_in_the_table_or_failed(spark):
+    payloads = [
+        (1, '{"ra": 1.5, "dec": 2.5, "z": 0.5, "q": 3, "name": "A7", "snr": 12.5, "SPECTYPE": "GALAXY", "lost": null}'), (1, '{"ra": 3.5, "dec": 2.5, "z": "bad", "q": 4, "snr": "NaN"}'),
+        (2, '{"ra": 1.5, "dec": 2.5, "z": 0.5, "Q": 3, "name": "A7", "SNR": "12.5", "nbfilt": 40, "ok": true}'), (2, '{"ra": 3.5, "dec": 2.5, "Q": 4, "mags": [1, 2]}'), (2, "no json"), (2, "[7]"), (2, None), (2, "{}"),
+        (3, '{"ra": 1.5, "dec": 2.5, "Q": 3, "q": 9, "name": "A7", "nbfilt": "forty"}'), (4, '{"ra": 8.5, "chi_a": 0.75}'),
+    ]
+    d = drift(spark, payloads)
+    table = {r["row_id"]: r for r in d.table(d.changes()).collect()}
+    assert len(table) == len(payloads)
+    for i, (_, payload) in enumerate(payloads):
+        r = table[i]
+        try:
+            fields = json.loads(payload or "{}")
+        except ValueError:
+            fields = payload
+        if not isinstance(fields, dict):
+            assert r["failed"] == f"payload={payload}" and not r["other"]
+            continue
+        typed = [r[c] for c in ("id", "ra", "dec", "z", "z_flag", "z_err", "survey") if r[c] is not None]
+        others = {o["field"]: o["value"] for o in r["other"]}
+        failed = [x.partition("=")[2] for x in r["failed"].split(";") if x]
+        there = {k: v for k, v in fields.items() if v is not None and v != "NaN"}
+        assert len(typed) + len(others) + len(failed) == len(there)
+        for k, v in there.items():
+            assert v in typed or v in failed or others[k] == (json.dumps(v, separators=(",", ":")) if not isinstance(v, str) else v)
+    assert [tuple(o) for o in table[0]["other"]] == [("SPECTYPE", "SPECTYPE", "GALAXY", "string"), ("snr", "snr", "12.5", "fractional")]
+    # A field renamed keeps its origin; a new field of the old name doesn't take the column from it. File 4 is in no list of files.
+    assert table[2]["z_flag"] == table[8]["z_flag"] == 3.0 and ("q", "q", "9", "integer") in [tuple(o) for o in table[8]["other"]]
+    assert {o["origin"] for o in table[9]["other"]} == {"ra", "chi_a"}
+
+
 def test_renames_need_equal_values(spark):
     same = [(1, '{"ra": 1.0, "dec": 2.0, "q": 3, "w": 1}'), (2, '{"ra": 1.0, "dec": 2.0, "flag": "3", "v": 2}'), (3, '{"ra": 1.0, "dec": 2.0, "FLAG": 3, "v": 2}')]
     got = sorted(tuple(r) for r in drift(spark, same).changes().collect())
