@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from skyloom.functions.text import canonical_id, is_na_token
+from skyloom.functions.text import canonical_id, is_na_token, strip
 from skyloom.operators.dedup import type_score
 from skyloom.operators.graph import components, edges, is_star, neighbors
+from skyloom.session import Scratch
 
 
 def intra_source_cells(df: DataFrame, places: int = 4) -> DataFrame:
@@ -79,6 +81,63 @@ def tie_violations(df: DataFrame, gap: float = 0.001) -> DataFrame:
     return single.select("rule", "component", "CRD_ID").unionAll(whole)
 
 
+def smallest_gaps(rows: DataFrame, width: float) -> DataFrame:
+    """(component, z) -> (component, gap): the smallest distance of two z of a component, null if it has only one.
+
+    Equal z are counted, and a component is scanned in bands of ``width`` that are joined afterwards, so that no task sorts a whole one.
+    """
+    points = rows.groupBy("component", "z").agg(F.count(F.lit(1)).alias("n")).withColumn("band", F.floor(F.col("z") / width))
+    inside, over = W.partitionBy("component", "band").orderBy("z"), W.partitionBy("component").orderBy("band")
+    near = F.when(F.col("n") > 1, 0.0).otherwise(F.col("z") - F.lag("z").over(inside))
+    bands = points.withColumn("gap", near).groupBy("component", "band").agg(F.min("z").alias("lo"), F.max("z").alias("hi"), F.min("gap").alias("gap"))
+    return bands.withColumn("gap", F.least("gap", F.col("lo") - F.lag("hi").over(over))).groupBy("component").agg(F.min("gap").alias("gap"))
+
+
+def tie_findings(df: DataFrame, gap: float = 0.001) -> DataFrame:
+    """(rule, component, CRD_ID): broken rules of tie_result by the reference's definitions; CRD_ID is null for rules about a whole component.
+
+    Unlike ``tie_violations``, pairs have rules of their own, with flag, type and redshift of both rows, and of larger components any
+    two survivors with the best flag and type have to be more than ``gap`` apart. Components leave out stars and rows marked as such.
+    """
+    scratch = Scratch(df.sparkSession, "tie-findings")
+    rows = scratch.keep(_components_of(df).select(
+        "CRD_ID", "component", is_star(F.col("z_flag_homogenized")).alias("star"), F.coalesce(F.col("tie_result").cast("int"), F.lit(-1)).alias("tie"), F.when(~F.isnan("z"), F.col("z")).alias("z"),
+        F.struct(F.coalesce(F.when(~F.isnan("z_flag_homogenized"), F.col("z_flag_homogenized")), F.lit(-1.0)).alias("flag"), type_score(F.col("instrument_type_homogenized")).alias("score")).alias("rank"),
+    ))
+    single = rows.select(
+        F.when(F.col("star") & (F.col("tie") != 3), "STAR_MUST_BE_3").when(~F.col("star") & (F.col("tie") == 3), "NONSTAR_MUST_NOT_BE_3").alias("rule"), "component", "CRD_ID"
+    ).where("rule is not null")
+    members = rows.where(~F.col("star") & (F.col("tie") != 3))
+    alive = F.col("tie").isin(1, 2)
+    g = members.groupBy("component").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("tie") == t).alias(f"n{t}") for t in range(3)], F.max("rank").alias("best"), F.min("rank").alias("worst"),
+        F.max(F.when(F.col("tie") == 1, F.col("rank"))).alias("winner"), F.max(F.when(F.col("tie") == 0, F.col("rank"))).alias("loser"),
+        F.min(F.when(alive, F.col("rank.flag"))).alias("tail_flag"), F.min(F.when(alive, F.col("rank.score"))).alias("tail_score"),
+        F.when(F.count("z") == 2, F.max("z") - F.min("z")).alias("dz"),
+    ).where("n > 1")
+    top = members.where(alive & F.col("z").isNotNull()).join(g.where("n > 2").select("component", "best"), "component").where("rank = best").select("component", "z")
+    g = g.join(smallest_gaps(top, 1000 * gap if gap > 0 else 1.0), "component", "left")
+    pair, more, survivors = F.col("n") == 2, F.col("n") > 2, F.col("n1") + F.col("n2")
+    close = F.coalesce(F.col("dz") <= gap, F.lit(False))
+    won, tied, lost = (F.col("n1") == 1) & (F.col("n0") == 1), F.col("n2") == 2, F.col("n0") == 2
+    equal = F.col("best") == F.col("worst")
+    rules: list[tuple[str, Column]] = [
+        ("PAIR_1v0_PRIORITY", pair & won & ~((F.col("winner") > F.col("loser")) | (equal & close))),
+        ("PAIR_2v2_TIE_CONSISTENCY", pair & tied & ~(equal & ~close)),
+        ("PAIR_0v0_SUSPECT", pair & lost),
+        ("PAIR_INVALID_TIE_PATTERN", pair & ~won & ~tied & ~lost),
+        ("GROUP_FLAG_DOMINANCE", more & (F.col("tail_flag") < F.col("best.flag"))),
+        ("GROUP_TYPE_DOMINANCE", more & (F.col("tail_score") < F.col("best.score"))),
+        ("GROUP_DELTZ_INDEPENDENCE", more & (F.col("gap") <= gap)),
+        ("GROUP_NO_SURVIVOR_SUSPECT", more & (survivors == 0)),
+        ("GROUP_SINGLE_SURVIVOR_MUST_BE_1", more & (survivors == 1) & (F.col("n1") == 0)),
+        ("GROUP_MULTI_SURVIVOR_MUST_BE_2", more & (survivors > 1) & (F.col("n1") > 0)),
+    ]
+    named = F.filter(F.array(*[F.when(c, F.lit(name)) for name, c in rules]), lambda v: v.isNotNull())
+    whole = g.select(F.explode(named).alias("rule"), "component", F.lit(None).cast("string").alias("CRD_ID"))
+    return single.select("rule", "component", "CRD_ID").unionAll(whole)
+
+
 def unlinked_rule(df: DataFrame) -> DataFrame:
     """(CRD_ID, tie_result, problem): rows without neighbors must be 1, or 3 if stars; stars are 3 and nothing else is."""
     star = is_star(F.col("z_flag_homogenized"))
@@ -112,6 +171,35 @@ def group_buckets(df: DataFrame, group: str = "component") -> DataFrame:
     return g.groupBy(name.alias("bucket")).agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows"))
 
 
+def linked_groups(df: DataFrame) -> DataFrame:
+    """The rows that name a neighbor, one for each CRD_ID, with the ``component`` of all links, those of stars and of absent rows too."""
+    links = neighbors(df).select(F.least("CRD_ID", "neighbor").alias("a"), F.greatest("CRD_ID", "neighbor").alias("b")).distinct()
+    rows = df.where(~is_na_token(F.col("compared_to"))).withColumn("CRD_ID", canonical_id(F.col("CRD_ID"))).dropDuplicates(["CRD_ID"])
+    return rows.join(components(links).withColumnRenamed("id", "CRD_ID"), "CRD_ID")
+
+
+def group_cases(df: DataFrame, group: str, gap: float = 0.001) -> DataFrame:
+    """(bucket, groups, rows): groups of two rows or more by the reference's kinds, of which a group may have several.
+
+    CASE1 is a pair, CASE2 more; small is no z farther than ``gap`` from another, infinite ones aside; same is one survey. The others
+    are of one flag and several types, or of one source. Missing values don't count, so a group without z is small.
+    """
+    text = lambda c: F.when(strip(F.col(c)) != "", strip(F.col(c)))
+    z = F.when(~F.isnan("z") & (F.abs("z") != float("inf")), F.col("z"))
+    flag = F.when(~F.isnan("z_flag_homogenized"), F.col("z_flag_homogenized"))
+    n_of = lambda c: F.least(F.lit(2), F.count_distinct(c))
+    g = df.where(F.col(group).isNotNull()).groupBy(group).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.max(z) - F.min(z), F.lit(0.0)).alias("dz"), n_of(text("survey")).alias("surveys"), n_of(flag).alias("flags"),
+        n_of(text("instrument_type_homogenized")).alias("types"), n_of(F.lower(text("source"))).alias("sources"), F.count(text("source")).alias("sourced"),
+    ).where("n > 1")
+    pair = F.col("n") == 2
+    broken = (F.col("flags") == 1) & (F.col("types") > 1)
+    case = F.concat(F.when(pair, "CASE1").otherwise("CASE2"), F.when(F.col("dz") <= gap, "_small").otherwise("_large"), F.when(F.col("surveys") == 1, "_same").otherwise("_diff"))
+    tie = F.when(broken & (F.col("surveys") > 1), F.when(pair, "TIE_FLAG_TYPE_BREAK_PAIR").otherwise("TIE_FLAG_TYPE_BREAK_GROUP"))
+    buckets = F.array_compact(F.array(case, tie, F.when(broken & ~pair, "SAME_FLAG_DIFF_TYPE"), F.when(pair & (F.col("sourced") == 2) & (F.col("sources") == 1), "SAME_SOURCE_PAIR")))
+    return g.select(F.explode(buckets).alias("bucket"), "n").groupBy("bucket").agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows"))
+
+
 def tie_preservation(before: DataFrame, after: DataFrame, key: str = "CRD_ID") -> DataFrame:
     """(before, after, rows): how tie results of an earlier output fared, over the keys of both; null as -1, gone as -2."""
     a = before.select(key, F.coalesce("tie_result", F.lit(-1)).cast("int").alias("before"))

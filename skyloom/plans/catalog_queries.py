@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyloom.functions.healpix import pixel
 from skyloom.functions.rules import Rule, compile_condition
 from skyloom.functions.sky import PREVIEW_FIELDS, footprint_segments, in_fields, in_footprint
-from skyloom.functions.text import BLANKS, na_to_null, nan_to_null, number
+from skyloom.functions.text import BLANKS, canonical_id, na_to_null, nan_to_null, number
 from skyloom.operators import validate
 from skyloom.operators.consolidate import draw_one, drop_empty_columns, merge_labels, remove_duplicates, sample_rows, union_aligned
 from skyloom.operators.crossmatch import match, match_catalogs, merge_neighbors, neighbor_text, self_match
@@ -431,6 +431,31 @@ def tie_rule_violations(spark, d):
     return validate.tie_violations(_rows(spark, d))
 
 
+@query(f"""WITH RECURSIVE {_COMPONENTS},
+r AS (SELECT DISTINCT {_canon('c.CRD_ID')} AS CRD_ID, coalesce(component, {_canon('c.CRD_ID')}) AS component, coalesce(z_flag_homogenized = 6, false) AS star, coalesce(tie_result, -1) AS tie,
+  CASE WHEN isnan(z) THEN NULL ELSE z END AS z, CASE WHEN z_flag_homogenized IS NULL OR isnan(z_flag_homogenized) THEN -1 ELSE z_flag_homogenized END AS flag,
+  CASE trim(instrument_type_homogenized, '{_B}') WHEN 's' THEN 3 WHEN 'g' THEN 2 WHEN 'p' THEN 1 ELSE 0 END AS score FROM crd_catalog c LEFT JOIN comp ON comp.id = {_canon('c.CRD_ID')}),
+m AS (SELECT *, flag * 10 + score AS k, count(*) OVER (PARTITION BY component) AS n, max(flag) OVER (PARTITION BY component) AS top FROM r WHERE NOT star AND tie <> 3),
+q AS (SELECT a.component, a.tie AS ta, b.tie AS tb, a.k AS ka, b.k AS kb, coalesce(abs(a.z - b.z) <= 0.001, false) AS near FROM m a JOIN m b ON a.component = b.component AND a.CRD_ID <> b.CRD_ID
+  WHERE a.n = 2 AND (a.tie > b.tie OR (a.tie = b.tie AND a.CRD_ID < b.CRD_ID))),
+t AS (SELECT *, max(CASE WHEN flag = top THEN score END) OVER (PARTITION BY component) AS top_score, {_ALIVE} AS stays FROM m WHERE n > 2),
+s AS (SELECT component, count(*) FILTER (stays) AS k, count(*) FILTER (tie = 1) AS ones FROM t GROUP BY component)
+SELECT CASE WHEN star THEN 'STAR_MUST_BE_3' ELSE 'NONSTAR_MUST_NOT_BE_3' END AS rule, component, CRD_ID FROM r WHERE star <> (tie = 3)
+UNION ALL SELECT 'PAIR_1v0_PRIORITY', component, NULL FROM q WHERE ta = 1 AND tb = 0 AND (ka < kb OR (ka = kb AND NOT near))
+UNION ALL SELECT 'PAIR_2v2_TIE_CONSISTENCY', component, NULL FROM q WHERE ta = 2 AND tb = 2 AND (ka <> kb OR near)
+UNION ALL SELECT 'PAIR_0v0_SUSPECT', component, NULL FROM q WHERE ta = 0 AND tb = 0
+UNION ALL SELECT 'PAIR_INVALID_TIE_PATTERN', component, NULL FROM q WHERE NOT ((ta = 1 AND tb = 0) OR (ta = tb AND ta IN (0, 2)))
+UNION ALL SELECT DISTINCT 'GROUP_FLAG_DOMINANCE', component, NULL FROM t WHERE stays AND flag < top
+UNION ALL SELECT DISTINCT 'GROUP_TYPE_DOMINANCE', component, NULL FROM t WHERE stays AND score < top_score
+UNION ALL SELECT DISTINCT 'GROUP_DELTZ_INDEPENDENCE', a.component, NULL FROM t a JOIN t b ON a.component = b.component AND a.CRD_ID < b.CRD_ID
+  WHERE a.stays AND b.stays AND a.flag = a.top AND b.flag = b.top AND a.score = a.top_score AND b.score = b.top_score AND abs(a.z - b.z) <= 0.001
+UNION ALL SELECT 'GROUP_NO_SURVIVOR_SUSPECT', component, NULL FROM s WHERE k = 0
+UNION ALL SELECT 'GROUP_SINGLE_SURVIVOR_MUST_BE_1', component, NULL FROM s WHERE k = 1 AND ones = 0
+UNION ALL SELECT 'GROUP_MULTI_SURVIVOR_MUST_BE_2', component, NULL FROM s WHERE k > 1 AND ones > 0""")
+def tie_rule_findings(spark, d):
+    return validate.tie_findings(_rows(spark, d))
+
+
 @query(f"""WITH r AS (SELECT DISTINCT CRD_ID, tie_result, coalesce(z_flag_homogenized = 6, false) AS star, ({_na('compared_to')}) IS NULL AS alone FROM crd_catalog)
 SELECT CRD_ID, tie_result, CASE WHEN star AND coalesce(tie_result, -1) <> 3 THEN 'star is not 3' WHEN NOT star AND tie_result = 3 THEN '3 is no star' ELSE 'no neighbors but not 1' END AS problem
 FROM r WHERE (star AND coalesce(tie_result, -1) <> 3) OR (NOT star AND tie_result = 3) OR (alone AND NOT star AND coalesce(tie_result, -1) <> 1)""")
@@ -466,6 +491,45 @@ def group_integrity(spark, d):
     return validate.group_integrity(_rows(spark, d).where("z_flag_homogenized = 0"), "obs_field")
 
 
+_CASE_COLUMNS = f"""CASE WHEN isfinite(z) THEN z END AS z, nullif(trim(survey, '{_B}'), '') AS survey, CASE WHEN NOT isnan(z_flag_homogenized) THEN z_flag_homogenized END AS flag,
+  nullif(trim(instrument_type_homogenized, '{_B}'), '') AS kind, lower(nullif(trim(source, '{_B}'), '')) AS source"""
+_CASES = """g AS (SELECT g, count(*) AS n, coalesce(max(z) - min(z), 0) <= 0.001 AS small, count(DISTINCT survey) AS sv, count(DISTINCT flag) AS fl, count(DISTINCT kind) AS ki,
+  count(DISTINCT source) AS so, count(source) AS ns FROM r GROUP BY g HAVING count(*) > 1),
+b AS (SELECT CASE WHEN n = 2 THEN 'CASE1' ELSE 'CASE2' END || CASE WHEN small THEN '_small' ELSE '_large' END || CASE WHEN sv = 1 THEN '_same' ELSE '_diff' END AS bucket, n FROM g
+  UNION ALL SELECT CASE WHEN n = 2 THEN 'TIE_FLAG_TYPE_BREAK_PAIR' ELSE 'TIE_FLAG_TYPE_BREAK_GROUP' END, n FROM g WHERE fl = 1 AND ki > 1 AND sv > 1
+  UNION ALL SELECT 'SAME_FLAG_DIFF_TYPE', n FROM g WHERE fl = 1 AND ki > 1 AND n > 2 UNION ALL SELECT 'SAME_SOURCE_PAIR', n FROM g WHERE n = 2 AND ns = 2 AND so = 1)
+SELECT bucket, count(*) AS groups, CAST(sum(n) AS BIGINT) AS "rows" FROM b GROUP BY 1"""
+
+
+def _grouped(spark, d) -> DataFrame:
+    """The rows of the catalog with the groups of all labels."""
+    return _rows(spark, d).withColumn("CRD_ID", canonical_id(F.col("CRD_ID"))).join(_labels(spark, d).select("CRD_ID", "group"), "CRD_ID")
+
+
+@query(f"""WITH RECURSIVE {_NEIGHBORS}, w AS (SELECT CRD_ID AS a, nb AS b FROM n UNION SELECT nb, CRD_ID FROM n),
+reach AS (SELECT a, b FROM w UNION SELECT r.a, w.b FROM reach r JOIN w ON r.b = w.a), comp AS (SELECT a AS id, least(a, min(b)) AS component FROM reach GROUP BY a),
+r AS (SELECT DISTINCT {_canon('c.CRD_ID')} AS CRD_ID, component AS g, {_CASE_COLUMNS} FROM crd_catalog c JOIN comp ON comp.id = {_canon('c.CRD_ID')} WHERE ({_na('compared_to')}) IS NOT NULL), {_CASES}""")
+def linked_group_cases(spark, d):
+    return validate.group_cases(validate.linked_groups(_rows(spark, d)), "component")
+
+
+@query(f"""WITH RECURSIVE {_SCORED}, r AS (SELECT DISTINCT tie.CRD_ID, "group" AS g, {_CASE_COLUMNS} FROM crd_catalog c JOIN tie ON tie.CRD_ID = {_canon('c.CRD_ID')}), {_CASES}""")
+def label_group_cases(spark, d):
+    return validate.group_cases(_grouped(spark, d), "group")
+
+
+@query(f"""WITH RECURSIVE {_SCORED}, r AS (SELECT DISTINCT tie.CRD_ID, "group", ({_na('compared_to')}) IS NOT NULL AS named FROM crd_catalog c JOIN tie ON tie.CRD_ID = {_canon('c.CRD_ID')})
+SELECT "group", count(*) AS "rows" FROM r GROUP BY 1 HAVING count(*) > 1 AND count(*) FILTER (named) = 0""")
+def label_group_integrity(spark, d):
+    return validate.group_integrity(_grouped(spark, d))
+
+
+@query(f"""WITH RECURSIVE {_SCORED} SELECT c.CRD_ID, c.z, t."group", coalesce(t.tie_result, c.tie_result) AS tie_result
+FROM (SELECT CRD_ID, z, tie_result FROM crd_catalog) c LEFT JOIN tie t ON t.CRD_ID = c.CRD_ID""")
+def all_merged_labels(spark, d):
+    return merge_labels(_catalog(spark, d).select("CRD_ID", "z", "tie_result"), _labels(spark, d)).select("CRD_ID", "z", "group", "tie_result")
+
+
 @query("SELECT CAST(tie_result AS INTEGER) AS tie_result, count(*) AS \"rows\", count(*) / (SELECT count(*) FROM crd_catalog)::DOUBLE AS share FROM crd_catalog GROUP BY 1")
 def tie_counts(spark, d):
     return validate.tie_counts(_catalog(spark, d))

@@ -117,6 +117,20 @@ def test_validators_find_nothing_in_own_output(spark, data):
     assert validate.unlinked_rule(done).where("problem <> 'no neighbors but not 1'").count() == 0
 
 
+def test_pairs_and_close_survivors_are_found(spark):
+    rows = [
+        ("a1", "a2", 0.1, 4.0, "s", 1, "ONE"), ("a2", "a1", 0.9, 4.0, "s", 0, "ONE"),
+        ("b1", "b2", 0.1, 4.0, "s", 2, "ONE"), ("b2", "b1", 0.1005, 4.0, "s", 2, "TWO"),
+        ("c1", "c2,c3", 0.1, 4.0, "s", 2, "ONE"), ("c2", "c1,c3", 0.5, 4.0, "s", 2, "ONE"), ("c3", "c1,c2", 0.1001, 4.0, "s", 2, "ONE"),
+        ("d1", "d2,d3", 0.1, 4.0, "s", 2, "ONE"), ("d2", "d1,d3", 0.5, 4.0, "s", 2, "ONE"), ("d3", "d1,d2", 0.9, 4.0, "g", 0, "ONE"),
+        ("e1", "e2", 0.1, 4.0, "s", 1, "ONE"), ("e2", "e1", 0.9, 4.0, "g", 0, "TWO"), ("f1", "f2", None, 4.0, "s", 2, "ONE"), ("f2", "f1", 0.1, 4.0, "s", 2, "ONE"),
+    ]
+    df = spark.createDataFrame(rows, "CRD_ID string, compared_to string, z double, z_flag_homogenized double, instrument_type_homogenized string, tie_result int, survey string").withColumn("source", F.col("survey"))
+    assert sorted((r["rule"], r["component"]) for r in validate.tie_findings(df).collect()) == [("GROUP_DELTZ_INDEPENDENCE", "c1"), ("PAIR_1v0_PRIORITY", "a1"), ("PAIR_2v2_TIE_CONSISTENCY", "b1")]
+    got = {r["bucket"]: r["groups"] for r in validate.group_cases(validate.linked_groups(df), "component").collect()}
+    assert got == {"CASE1_large_same": 1, "CASE1_small_diff": 1, "CASE2_large_same": 2, "CASE1_large_diff": 1, "CASE1_small_same": 1, "TIE_FLAG_TYPE_BREAK_PAIR": 1, "SAME_FLAG_DIFF_TYPE": 1, "SAME_SOURCE_PAIR": 2}
+
+
 # ------------------------------------------------------------------ preparing
 
 RULES = {"ONE": {"z_flag": {"direct": {1: 1, 2: 3, 4: 4, 6: 6}}, "instrument_type": {"default": "s"}}}
