@@ -1,7 +1,7 @@
 """Texts cut off by field limits or broken transfers, by a backward character n-gram model.
 
 For the last characters of a text the model compares how often texts or lines end after them with how often they go on; a text is cut
-off where the log-odds of an end fall below a threshold, fitted for each language. The model is trained on every character of all
+off where the log-odds of an end fall below a threshold, fitted for each language by one rule at every size. The model is trained on every character of all
 texts: contexts are hashed into ``1 << BITS`` buckets for each order, counted in the tasks and summed by Spark, so its size is bounded
 whatever the corpus. Marks and closing lines behind a break are taken off first; what counts as a closing line is learned from how
 often its form is the last line of a text.
@@ -27,8 +27,8 @@ BITS = 20
 #: A closing line is at most this long, and its form is last in at least this share of all texts.
 CLOSER_CHARS = 40
 CLOSER_SHARE = 0.002
-#: Texts that a language needs for a threshold of its own, and the log-odds between which a threshold is sought.
-LANGUAGE_TEXTS = 2000
+#: The weight, in texts, of the whole table's histogram in that of each language, and the log-odds between which a threshold is sought.
+PRIOR_TEXTS = 500.0
 SPAN, STEP = (-6.0, -1.0), 0.25
 
 # The codes in use for each language.
@@ -151,27 +151,26 @@ def language(code: Column) -> Column:
     return F.coalesce(F.element_at(F.create_map(*pairs), F.lower(strip(code))), F.lit("und"))
 
 
-def _thresholds(scored: DataFrame) -> tuple[float, dict[str, float]]:
-    """The emptiest place between ends and breaks, over all texts and for each language with enough of them."""
-    bins = scored.groupBy("language", F.floor(F.col("log_odds") / STEP).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
-    lo, hi = (round(x / STEP) for x in SPAN)
+def _thresholds(scored: DataFrame) -> dict[str, float]:
+    """The emptiest place between ends and breaks for each language, its histogram shrunk towards that of all texts.
 
-    def valley(rows) -> float:
-        n = np.zeros(hi - lo)
-        for r in rows:
-            if lo <= r["bin"] < hi:
-                n[r["bin"] - lo] += r["n"]
+    No count switches the method: the more texts a language has, the less the whole table counts.
+    """
+    rows = scored.groupBy("language", F.floor(F.col("log_odds") / STEP).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
+    lo, hi = (round(x / STEP) for x in SPAN)
+    total = sum(r["n"] for r in rows)
+    whole, each = np.zeros(hi - lo), {r["language"]: np.zeros(hi - lo) for r in rows}
+    for r in rows:
+        if lo <= r["bin"] < hi:
+            whole[r["bin"] - lo] += r["n"]
+            each[r["language"]][r["bin"] - lo] += r["n"]
+
+    def valley(n: np.ndarray) -> float:
         smooth = np.convolve(n, [0.25, 0.5, 1, 0.5, 0.25], "same")[2:-2]
         best = np.flatnonzero(smooth == smooth.min())
         return float((best[len(best) // 2] + 2.5 + lo) * STEP)
 
-    whole = valley(bins)
-    each = {}
-    for name in sorted({r["language"] for r in bins}):
-        rows = [r for r in bins if r["language"] == name]
-        if sum(r["n"] for r in rows) >= LANGUAGE_TEXTS:
-            each[name] = valley(rows)
-    return whole, each
+    return {name: valley(n + PRIOR_TEXTS / total * whole) for name, n in sorted(each.items())}
 
 
 def find_truncated(df: DataFrame, doc: str, text: str, lang: str) -> DataFrame:
@@ -183,8 +182,7 @@ def find_truncated(df: DataFrame, doc: str, text: str, lang: str) -> DataFrame:
     scratch = Scratch(df.sparkSession, "truncation")
     odds = scratch.keep(end_log_odds(df, doc, text, scratch).distinct())
     scored = df.select(F.col(doc).alias("doc"), language(F.col(lang)).alias("language")).join(odds, "doc", "left")
-    whole, each = _thresholds(scored.where("log_odds is not null"))
-    limit = F.lit(whole)
-    for name, at in each.items():
+    limit = F.lit(None).cast("double")
+    for name, at in _thresholds(scored.where("log_odds is not null")).items():
         limit = F.when(F.col("language") == name, at).otherwise(limit)
     return scored.select(F.col("doc").alias(doc), "log_odds", F.coalesce(F.col("log_odds") < limit, F.lit(False)).alias("truncated"))

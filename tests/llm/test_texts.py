@@ -10,7 +10,7 @@ from skyloom.llm import leaks, packing
 from skyloom.llm.chars import code_points, gram_hashes, gram_sums, words_only
 from skyloom.llm.leaks import banded_edits, find_leaks
 from skyloom.llm.packing import OpenBins, count_tokens, pack
-from skyloom.llm.truncation import Trimmer, find_truncated
+from skyloom.llm.truncation import Trimmer, _thresholds, find_truncated
 
 # ------------------------------------------------------------------ characters
 
@@ -160,3 +160,16 @@ def test_truncation_on_held_out_breaks(spark):
 
 def test_truncation_of_no_rows(spark):
     assert find_truncated(spark.createDataFrame([], "id long, text string, lang string"), "id", "text", "lang").count() == 0
+
+
+def test_no_count_switches_the_thresholds(spark):
+    def fitted(n):
+        # English breaks lie below -4.5 and ends begin at -3.25, German ones below -3 and at -1.5.
+        en = [("en", -6.0 + 0.25 * k, 400 if k < 6 else 0 if k < 11 else 1000) for k in range(20)] + [("en", 1.0, 8000)]
+        de = [("de", -6.0 + 0.25 * k, n // 20) for k in range(12)] + [("de", -1.5, n // 5), ("de", 1.0, n - n // 5 - 12 * (n // 20))]
+        rows = spark.createDataFrame([r for r in en + de if r[2]], "language string, log_odds double, n int")
+        return _thresholds(rows.selectExpr("language", "log_odds + 0.1 as log_odds", "explode(sequence(1, n)) as i"))
+
+    just_below, just_above, many = fitted(1999), fitted(2000), fitted(200_000)
+    assert just_below == just_above
+    assert -3.0 <= many["de"] <= -1.5 and -4.5 <= just_below["en"] <= -3.25
