@@ -6,7 +6,7 @@ Every candidate dialect is a description of the field, and the shortest descript
 * A field's *pattern* is the field with digit runs as ``9`` and letter runs as ``A``. Letters and digits cost the same bits under
   every dialect, so a choice made for a pattern holds for all its fields, and only distinct patterns are scored.
 * The code length of a value comes from how often its shape occurs among all values of the column, counted by Spark over every row.
-  Shapes outside the code book pay for each of their characters.
+  Shapes that never occur pay for each of their characters.
 * Delimiters that a parse uses pay for themselves once, and each separator pays a little.
 """
 
@@ -15,13 +15,14 @@ from __future__ import annotations
 import itertools
 import math
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyloom.functions.text import BLANKS, INVISIBLE, NA_TOKENS, is_na_token, strip
-from skyloom.session import Scratch
+from skyloom.functions.text import BLANKS, INVISIBLE, is_na_token, strip
+from skyloom.session import Scratch, seen
 
 # The delimiters and quotes that a dialect may use; "s" stands for a run of blanks.
 DELIMITERS = {",": ",，", ";": ";；", "|": "|", "/": "/", "s": None}
@@ -34,10 +35,8 @@ _JAVA_BLANK = BLANKS
 #: Signs that may cling to a value besides the common blanks: brackets and the other blanks.
 _UNUSUAL = "[\\[\\]{}()" + "".join(c for c in BLANKS if c not in " \t\r\n\xa0") + "]"
 
-#: Most shapes in the code book (a bound on what is sent to every task); rarer shapes pay by character, which is exact as well.
-MAX_SHAPES = 4096
-#: Most distinct patterns that are broadcast; beyond it rows and patterns meet in a shuffled join.
-MAX_BROADCAST_PATTERNS = 20_000
+#: Most bytes of patterns that are broadcast; beyond it rows and patterns meet in a shuffled join.
+MAX_BROADCAST_BYTES = 16 << 20
 #: Parts of each pattern's rows in that join.
 SALTS = 16
 
@@ -75,91 +74,94 @@ def unquoted(token: Column) -> Column:
     return F.btrim(t, F.lit(BLANKS + BRACKETS))
 
 
-def _score(codes: dict[str, float], escape: float):
-    """Chooses the dialect of each pattern by description length."""
+def _parses(batches):
+    """(pattern, dialect, quotes, regex, fixed, value, m): the values of each pattern under each dialect, and the bits besides their codes."""
     finders: dict[tuple[str, str], re.Pattern] = {}
-
-    def finder(d: str, q: str) -> re.Pattern:
-        if (d, q) not in finders:
-            finders[d, q] = re.compile(token_regex(d, q, _PY_BLANK))
-        return finders[d, q]
-
-    def bits(pattern: str, d: str, q: str) -> float:
-        total = 2.0 * len(d) + 3.0 * len(q)  # naming the dialect
-        covered = 0
-        for m in finder(d, q).finditer(pattern):
-            token = m.group().strip()
-            covered += len(m.group())
-            if len(token) > 1 and token[0] in q and token[-1] == token[0]:
-                value, total = token[1:-1].strip(), total + 1.0
-            else:
-                value = token
-            total += 1.0 + (codes[value] if value in codes else escape + 7.0 * len(value))
-        return total + 3.0 * (len(pattern) - covered)  # separators, at the same cost under every dialect
-
-    def best(pattern: str) -> tuple[str, str]:
-        present = [d for d in DELIMITERS if (re.search(rf"[{_PY_BLANK}]", pattern) if d == "s" else any(c in pattern for c in DELIMITERS[d]))]
-        quotes = [q for q in QUOTES if q in pattern]
-        options = (
-            ("".join(d), "".join(q))
-            for n in range(len(present) + 1) for d in itertools.combinations(present, n)
-            for m in range(len(quotes) + 1) for q in itertools.combinations(quotes, m)
-        )
-        return min(options, key=lambda o: (bits(pattern, *o), len(o[0]), o))
-
-    def over(batches):
-        for pdf in batches:
-            chosen = [best(p) for p in pdf["pattern"]]
-            yield pd.DataFrame({
-                "pattern": pdf["pattern"],
-                "signs": ["".join(BLANKS if c == "s" else DELIMITERS[c] for c in d) for d, _ in chosen],
-                "regex": [token_regex(d, q) if q else None for d, q in chosen],
-            })
-
-    return over
+    for pdf in batches:
+        out = []
+        for pattern in pdf["pattern"]:
+            present = [d for d in DELIMITERS if (re.search(rf"[{_PY_BLANK}]", pattern) if d == "s" else any(c in pattern for c in DELIMITERS[d]))]
+            quotes = [q for q in QUOTES if q in pattern]
+            options = itertools.product(*([[x for n in range(len(have) + 1) for x in itertools.combinations(have, n)] for have in (present, quotes)]))
+            for d, q in (("".join(d), "".join(q)) for d, q in options):
+                if (d, q) not in finders:
+                    finders[d, q] = re.compile(token_regex(d, q, _PY_BLANK))
+                fixed, covered, values = 2.0 * len(d) + 3.0 * len(q), 0, Counter()  # naming the dialect
+                for m in finders[d, q].finditer(pattern):
+                    token = m.group().strip()
+                    covered += len(m.group())
+                    fixed += 1.0
+                    if len(token) > 1 and token[0] in q and token[-1] == token[0]:
+                        token, fixed = token[1:-1].strip(), fixed + 1.0
+                    values[token] += 1
+                fixed += 3.0 * (len(pattern) - covered)  # separators, at the same cost under every dialect
+                regex = token_regex(d, q) if q else None
+                out += [(pattern, d, q, regex, fixed, v, n) for v, n in (values or {"": 0}).items()]
+        yield pd.DataFrame(out, columns=["pattern", "dialect", "quotes", "regex", "fixed", "value", "m"])
 
 
 def choose_dialects(patterns: DataFrame) -> DataFrame:
-    """(pattern, n) -> (pattern, signs, regex): the cheapest dialect of each pattern.
+    """(pattern, n) -> (pattern, dialect, regex, unusual): the cheapest dialect of each pattern, ties to fewer delimiters.
 
-    ``signs`` are the characters that separate; ``regex`` finds the values, and is null for dialects without quotes.
+    ``dialect`` are the keys of the DELIMITERS that separate; ``regex`` finds the values, and is null for dialects without quotes. Code
+    lengths stay distributed: the values of all parses meet the counts of their shapes in a join.
     """
     finest = token_regex("".join(DELIMITERS), "".join(QUOTES))
     shapes = (
         patterns.select("n", F.explode(F.regexp_extract_all("pattern", F.lit(finest), F.lit(0))).alias("token"))
-        .select("n", unquoted(F.col("token")).alias("shape"))
-        .where(F.col("shape") != "")
-        .groupBy("shape").agg(F.sum("n").alias("n"))
+        .select("n", unquoted(F.col("token")).alias("value"))
+        .where(F.col("value") != "")
+        .groupBy("value").agg(F.sum("n").alias("n"))
     )
-    top = shapes.orderBy(F.desc("n"), "shape").limit(MAX_SHAPES).collect()
-    total = sum(r["n"] for r in top) + 1
-    codes = {r["shape"]: -math.log2(r["n"] / total) for r in top}
-    return patterns.mapInPandas(_score(codes, math.log2(total)), "pattern string, signs string, regex string")
+    shapes = Scratch(patterns.sparkSession, "shapes").keep(shapes, values=F.sum("n"))
+    total = (seen(shapes, "values") or 0) + 1
+    parses = patterns.select("pattern").mapInPandas(_parses, "pattern string, dialect string, quotes string, regex string, fixed double, value string, m int")
+    code = F.when(F.col("n").isNotNull(), -F.log2(F.col("n") / float(total))).otherwise(math.log2(total) + 7.0 * F.length("value"))
+    bits = F.round(F.max("fixed") + F.sum(F.col("m") * code), 6)
+    scored = parses.join(shapes, "value", "left").groupBy("pattern", "dialect", "quotes", "regex").agg(bits.alias("bits"))
+    best = F.min(F.struct("bits", F.length("dialect").alias("signs"), "dialect", "quotes", "regex"))
+    # Letters and digits don't cling, so what has to be taken off values shows in the pattern.
+    return scored.groupBy("pattern").agg(best.alias("b")).select("pattern", "b.dialect", "b.regex", F.col("pattern").rlike(_UNUSUAL).alias("unusual"))
+
+
+def _divided(field: Column, dialect: Column) -> Column:
+    """The field cut at the separators of an unquoted dialect. Each dialect has a pattern of its own, so none is compiled row by row."""
+    out = F.array(field)
+    for n in range(1, len(DELIMITERS) + 1):
+        for d in itertools.combinations(DELIMITERS, n):
+            signs = "".join(re.escape(DELIMITERS[c]) for c in d if c != "s")
+            cut = f"[{signs}{_JAVA_BLANK}]++" if "s" in d else f"[ \t\r\n\xa0]*+[{signs}][{signs} \t\r\n\xa0]*+"
+            out = F.when(dialect == "".join(d), F.split(F.regexp_replace(field, cut, "\u0001"), "\u0001")).otherwise(out)
+    return out
 
 
 def packed_values(df: DataFrame, key: str, field: str) -> DataFrame:
-    """(key, values): the values of each row's field in order, rows without values left out; the rest as in ``split_packed``."""
+    """(key, values): the values of each row's field in order, null fields left out; the rest as in ``split_packed``.
+
+    For one row each, take ``explode_outer`` and leave out nulls: before ``explode`` Spark tests the size of the array, which would
+    parse every field twice.
+    """
     spark = df.sparkSession
-    rows = df.select(F.col(key).alias("key"), cleaned(F.col(field)).alias("field")).where(F.col("field").isNotNull() & ~F.lower("field").isin(*NA_TOKENS))
+    rows = df.select(F.col(key).alias("key"), cleaned(F.col(field)).alias("field"), F.col(field).alias("raw")).where("raw is not null").drop("raw")
     rows = rows.withColumn("pattern", pattern_of(F.col("field")))
     patterns = rows.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
     scratch = Scratch(spark, "packed")
-    chosen = scratch.keep(choose_dialects(scratch.keep(patterns)))
-    if chosen.count() <= MAX_BROADCAST_PATTERNS:
+    size = F.sum(F.octet_length("pattern") + F.coalesce(F.octet_length("regex"), F.lit(0)) + 64)
+    chosen = scratch.keep(choose_dialects(scratch.keep(patterns)), bytes=size)
+    if (seen(chosen, "bytes") or 0) <= MAX_BROADCAST_BYTES:
         joined = rows.join(F.broadcast(chosen), "pattern")
     else:  # one pattern may hold a third of all rows
         salted = rows.withColumn("salt", F.pmod(F.xxhash64("key", "field"), F.lit(SALTS)).cast("int"))
-        joined = salted.join(chosen.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["pattern", "salt"])
-    # Without quotes and brackets every separator separates, and what lies between is a value as it stands. Patterns that differ from
-    # row to row are slow, so separators become one sign, which a constant pattern splits at.
-    marked = F.expr("translate(field, signs, repeat('\u0001', char_length(signs)))")
-    plain = F.split(marked, "[ \t\r\n\xa0]*+\u0001[ \t\r\n\xa0\u0001]*+")
+        joined = salted.join(chosen.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["salt", "pattern"])
+    # Without quotes and brackets every separator separates, and what lies between is a value as it stands.
+    plain = _divided(F.col("field"), F.col("dialect"))
     quoted = F.filter(F.transform(F.regexp_extract_all("field", F.col("regex"), F.lit(0)), unquoted), lambda v: v != "")
     bare = F.filter(F.transform(plain, unquoted), lambda v: v != "")
-    values = F.when(F.col("regex").isNotNull(), quoted).when(F.col("field").rlike(_UNUSUAL), bare).otherwise(plain)
+    values = F.when(F.col("regex").isNotNull(), quoted).when(F.col("unusual"), bare).otherwise(plain)
     # Only fields with the letters of a missing-value token can hold one.
-    values = F.when(F.lower("field").rlike("na|null|none"), F.filter(values, lambda v: ~is_na_token(v))).otherwise(values)
-    return joined.select(F.col("key").alias(key), values.alias("values"))
+    low = F.lower("field")
+    values = F.when(low.contains("na") | low.contains("null") | low.contains("none"), F.filter(values, lambda v: ~is_na_token(v))).otherwise(values)
+    return joined.select(F.col("key").alias(key), F.when(F.col("field") == "", F.array().cast("array<string>")).otherwise(values).alias("values"))
 
 
 def split_packed(df: DataFrame, key: str, field: str) -> DataFrame:
@@ -168,5 +170,5 @@ def split_packed(df: DataFrame, key: str, field: str) -> DataFrame:
     Null, empty and missing-value fields give no rows, nor do empty values within a field. Rows whose key is null are kept with a
     null key. Repeated rows give their values once. Fields of any length are parsed whole.
     """
-    out = packed_values(df, key, field).select(key, F.posexplode("values").alias("at", "value"))
+    out = packed_values(df, key, field).select(key, F.posexplode_outer("values").alias("at", "value")).where("value is not null")
     return out.select(key, (F.col("at") + 1).cast("int").alias("pos"), "value").distinct()

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(master: str = "local[*]", app: str = "skyloom", **conf: str) -> SparkSession:
@@ -21,41 +23,79 @@ def build_session(master: str = "local[*]", app: str = "skyloom", **conf: str) -
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where that is unset, a temporary one on a single machine, else RuntimeError."""
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         current = sc._jsc.sc().getCheckpointDir()
+        if not current.isDefined() and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="skyloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as Hadoop has it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """A small text file in any of Hadoop's file systems; None if it isn't there."""
+    fs, at = _file_system(spark, path)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    fs, at = _file_system(spark, path)
+    stream = fs.create(at, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
 class Scratch:
     """Tables written once to the shared folder, so that a lost executor costs no recomputation.
 
-    ``keep`` writes and reads back a frame; ``drop`` deletes one that no later plan reads.
+    ``keep`` writes and reads back a frame; ``drop`` deletes one that no later plan reads. What is left is deleted when the application
+    ends.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.base = f"{scratch_root(spark)}/skyloom/{label}-{uuid.uuid4().hex}"
         self.n = 0
+        fs, at = _file_system(spark, self.base)
+        fs.mkdirs(at)
+        fs.deleteOnExit(at)
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, **metrics: Column) -> DataFrame:
+        """``df`` as written. Its number of rows, and further aggregates asked for, are counted while writing: see ``seen``."""
         self.n += 1
         path = f"{self.base}/{self.n}"
-        df.write.parquet(path)
+        counted = Observation()
+        df.observe(counted, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]).write.parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
-        kept._scratch_path = path
+        kept._scratch_path, kept._seen = path, counted.get
         return kept
 
     def drop(self, *frames: DataFrame) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for df in frames:
-            path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-            path.getFileSystem(conf).delete(path, True)
+            fs, at = _file_system(self.spark, df._scratch_path)
+            fs.delete(at, True)
+
+
+def seen(kept: DataFrame, metric: str = "rows"):
+    """What was counted while a kept frame was written; 0 rows means that it is empty."""
+    return kept._seen[metric]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

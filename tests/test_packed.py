@@ -17,7 +17,7 @@ def split(spark, rows, schema="CRD_ID string, compared_to string"):
 
 @pytest.mark.parametrize("most", [20_000, 0])
 def test_writings(spark, monkeypatch, most):
-    monkeypatch.setattr(packed, "MAX_BROADCAST_PATTERNS", most)
+    monkeypatch.setattr(packed, "MAX_BROADCAST_BYTES", most)
     rows = [
         ("a", "X1, X2"), ("b", "X1;;X2|X3 X4"), ("c", '"X 1, b", X2'), ("d", "['X1', 'X2']"), ("e", '"MASK ""6,B""" / X1'), ("f", "{X1,X1}"),
         ("g", "​X1﻿ ；X2"), ("h", "X1, null,, <NA>,X2"), ("i", ';["X1"],'), ("j", "{A1,B2},C3"),
