@@ -61,9 +61,9 @@ def footprint_segments(border: DataFrame, ra: str, dec: str, bin_deg: float = 0.
 def in_footprint(df: DataFrame, segments: DataFrame, ra: str, dec: str, name: str) -> DataFrame:
     """``df`` with ``name``: 1 where dec is at or below the limit at its ra, else 0; 0 for missing positions.
 
-    The pieces are one row for each bin of ra at most, so they are broadcast, and rows look theirs up by bin rather than by range.
+    Rows look their piece up by degree of ra rather than by range; the pieces are one row for each bin of ra at most.
     """
-    binned = F.broadcast(segments.select("lo", "hi", "at_lo", "slope", F.explode(F.sequence(F.floor("lo").cast("int"), F.ceil("hi").cast("int") - 1)).alias("deg")))
+    binned = (segments.select("lo", "hi", "at_lo", "slope", F.explode(F.sequence(F.floor("lo").cast("int"), F.ceil("hi").cast("int") - 1)).alias("deg")))
     rows = df.withColumn("deg", F.floor(F.pmod(F.col(ra), F.lit(360.0))).cast("int"))
     at = F.pmod(rows[ra], F.lit(360.0))
     out = rows.join(binned, (rows["deg"] == binned["deg"]) & (at >= binned["lo"]) & (at < binned["hi"]), "left")

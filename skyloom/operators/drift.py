@@ -78,7 +78,7 @@ class Drift:
 
     def _digests(self) -> DataFrame:
         """(pair, file, field, n, digest): how many (object, value) a field has over the objects in both files of a pair, and their digest."""
-        where = self.files.join(F.broadcast(self.columns.select("source", "ra_column", "dec_column")), "source").select(
+        where = self.files.join(self.columns.select("source", "ra_column", "dec_column"), "source").select(
             F.col("file_id").alias("file"), "ra_column", "dec_column"
         )
         v = self.values.where("value is not null").withColumn("c", canonical(F.col("value")))
@@ -164,7 +164,7 @@ class Drift:
         mapping = self.columns.select("source", F.explode(F.array(*names)).alias("m")).select("source", "m.column", "m.origin").where("origin is not null").distinct()
         files = self.files.select(F.col("file_id").alias("file"), "source")
         first = self.files.select(F.col("file_id").alias("first"), "release_no")
-        to = self.lineage(changes).join(files, "file", "left").join(first, "first", "left").join(F.broadcast(mapping), ["source", "origin"], "left")
+        to = self.lineage(changes).join(files, "file", "left").join(first, "first", "left").join(mapping, ["source", "origin"], "left")
         rank = F.row_number().over(W.partitionBy("file", "column").orderBy(F.asc_nulls_last("release_no"), "first", "field"))
         return to.select("file", "field", "origin", F.when(rank == 1, F.col("column")).alias("column"))
 

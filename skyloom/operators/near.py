@@ -18,6 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.functions.healpix import pixel
+from skyloom.session import Scratch
+
 #: Rows a leaf should hold, and the most leaves; the upper hierarchy is fitted on at most SAMPLE_PER_LEAF rows for each leaf.
 ROWS_PER_LEAF = 40_000
 MAX_LEAVES = 1 << 16
@@ -283,8 +286,7 @@ def pairs_within(df: DataFrame, key: str, ra: str, dec: str, radius_arcsec: floa
 
     schema = pa.schema([("left", pa.string()), ("right", pa.string())])
     routed = rows.mapInArrow(route, "leaf int, kind byte, id string, ra double, dec double")
-    placed = routed.repartition(F.col("leaf")) if top.depth else routed.coalesce(1)
-    placed = placed.sortWithinPartitions("leaf", "kind")
+    placed = routed.repartition(F.col("leaf")).sortWithinPartitions("leaf", "kind")
     return placed.mapInArrow(lambda b: _by_leaf(b, build, probe, schema), "left string, right string").distinct()
 
 
@@ -347,19 +349,27 @@ def points_in_regions(points: DataFrame, regions: DataFrame, key: str, ra: str,
     return found.select(F.col("id").alias(key), F.col("region").alias(region))
 
 
+def _caps(rows: DataFrame, *by: str) -> DataFrame:
+    """(by..., mx, my, mz, r): the mean position of each group's rows (x, y, z), and the angle to the farthest; half a sphere without a mean."""
+    mean = rows.groupBy(*by).agg(*[F.avg(c).alias(f"m{c}") for c in "xyz"])
+    length = F.sqrt(F.col("mx") * F.col("mx") + F.col("my") * F.col("my") + F.col("mz") * F.col("mz"))
+    mean = mean.select(*by, length.alias("l"), *[F.when(length > 1e-6, F.col(f"m{c}") / length).alias(f"m{c}") for c in "xyz"])
+    dot = F.col("x") * F.col("mx") + F.col("y") * F.col("my") + F.col("z") * F.col("mz")
+    far = rows.join(mean, list(by)).groupBy(*by, "mx", "my", "mz").agg(F.min(dot).alias("d"))
+    return far.select(*by, "mx", "my", "mz", F.coalesce(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), "d"))), F.lit(math.pi)).alias("r"))
+
+
 def field_polygons(df: DataFrame, field: str, ra: str, dec: str, corners: int = 8) -> DataFrame:
     """(field, ring): for each field a polygon about the mean position of its rows that holds them all.
 
-    Fields wider than 45 degrees about their mean, or without valid positions, have none. The mean and the reach are two aggregates;
-    no field's rows are gathered.
+    A field that reaches 45 degrees or more from its mean has a polygon for each of the sky's 48 pixels of order 1 that hold rows of it.
+    Fields without valid positions have none. Means and reaches are aggregates; no field's rows are gathered.
     """
-    rows = df.where(F.col(field).isNotNull() & valid_position(F.col(ra), F.col(dec))).select(F.col(field).alias("f"), *[c.alias(n) for c, n in zip(_vector(F.col(ra), F.col(dec)), "xyz")])
-    mean = rows.groupBy("f").agg(*[F.avg(c).alias(f"m{c}") for c in "xyz"])
-    length = F.sqrt(F.col("mx") * F.col("mx") + F.col("my") * F.col("my") + F.col("mz") * F.col("mz"))
-    mean = mean.where(length > 1e-6).select("f", *[(F.col(f"m{c}") / length).alias(f"m{c}") for c in "xyz"])
-    dot = F.col("x") * F.col("mx") + F.col("y") * F.col("my") + F.col("z") * F.col("mz")
-    reach = rows.join(mean, "f").groupBy("f", "mx", "my", "mz").agg(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.min(dot)))).alias("r"))
-    reach = reach.where(F.col("r") < math.pi / 4)
+    rows = df.where(F.col(field).isNotNull() & valid_position(F.col(ra), F.col(dec)))
+    rows = rows.select(F.col(field).alias("f"), pixel(F.col(ra), F.col(dec), 1).alias("p"), *[c.alias(n) for c, n in zip(_vector(F.col(ra), F.col(dec)), "xyz")])
+    whole = Scratch(df.sparkSession, "fields").keep(_caps(rows, "f"))
+    wide = whole.where(F.col("r") >= math.pi / 4).select("f")
+    reach = whole.where(F.col("r") < math.pi / 4).unionByName(_caps(rows.join(wide, "f", "left_semi"), "f", "p").drop("p"))
     # Corners at an angle that keeps the sides outside the circle of the farthest row.
     out = F.atan(F.tan(F.col("r") * 1.001 + 1e-9) / math.cos(math.pi / corners))
     d0, a0 = F.asin(F.col("mz")), F.atan2("my", "mx")

@@ -12,11 +12,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skyloom.functions.sky import in_fields, in_footprint
 from skyloom.functions.text import na_to_null, nan_to_null, number, strip
 from skyloom.operators.homogenize import homogenize, letter_flag
+from skyloom.session import Scratch
 
 # The base columns and their types, the output order, and the columns that mark an earlier output.
 BASE = {"id": "string", "instrument_type": "string", "survey": "string", "ra": "double", "dec": "double", "z": "double", "z_flag": "double", "z_err": "double"}
@@ -153,29 +155,25 @@ def normalize_types(df: DataFrame) -> DataFrame:
                 raise ValueError(f"{c}: {r[c]} values are no numbers, such as {examples}")
     for c in ("id", "survey", "instrument_type"):
         out = out.withColumn(c, na_to_null(F.col(c).cast("string")))
-    return out.withColumn("survey", F.upper("survey"))
+    return out.withColumn("survey", F.upper("survey")).withColumn("instrument_type", F.lower("instrument_type"))
 
 
 def with_ids(df: DataFrame, name: str) -> DataFrame:
     """``df`` with CRD_ID = CRD<digits of the name>_<n>, n from 1 in the order of files and rows.
 
-    Rows are numbered within Spark's partitions of the scan and offset by the sizes of those before, which are the only numbers that
-    pass the driver; ValueError for names that don't begin with digits and an underscore.
+    The rows are written once with partition and place, so that every later reading sees the same ones, and numbered by the sizes of the
+    partitions before, which meet them in a join. ValueError for names that don't begin with digits and an underscore.
     """
     m = re.match(r"(\d+)_", name)
     if not m:
         raise ValueError(f"a catalog name begins with a number and an underscore: {name!r}")
-    placed = df.withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
-    sizes = {r["_p"]: r["n"] for r in placed.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect()}
-    before, total = {}, 0
-    for p in sorted(sizes):
-        before[p], total = total, total + sizes[p]
-    if not before:
-        return df.withColumn("CRD_ID", F.lit(None).cast("string"))
-    offsets = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])
+    placed = Scratch(df.sparkSession, "ids").keep(df.withColumn("_p", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id()))
+    sizes = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("n"))
+    # One row for each partition is in this one window partition.
+    before = sizes.select("_p", (F.sum("n").over(W.partitionBy(F.lit(1)).orderBy("_p")) - F.col("n")).alias("_before"))
     # The lower 33 bits of the increasing id are the row's place within its partition.
-    n = F.element_at(offsets, F.col("_p")) + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)) + 1
-    return placed.withColumn("CRD_ID", F.concat(F.lit(f"CRD{m[1]}_"), n.cast("string"))).drop("_p", "_m")
+    n = F.col("_before") + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return placed.join(before, "_p").withColumn("CRD_ID", F.concat(F.lit(f"CRD{m[1]}_"), n.cast("string"))).drop("_p", "_m", "_before")
 
 
 def ids_by_order(df: DataFrame, name: str, *order: str) -> DataFrame:

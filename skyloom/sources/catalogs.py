@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import bz2
 import gzip
+import logging
 import lzma
 import os
 from pathlib import Path
@@ -15,11 +16,12 @@ from pyspark.sql import functions as F
 
 from skyloom.functions.text import na_to_null, number, strip
 
-# Compressions and delimiters of text files, and rows that type inference looks at.
+log = logging.getLogger(__name__)
+
+# Compressions and endings of text files, and the share of numbers that makes a column numeric.
 COMPRESSIONS = (".gz", ".bz2", ".xz", ".zst")
 TEXT = (".csv", ".tsv", ".txt")
 SNIFF_BYTES = 128 * 1024
-INFER_ROWS = 200_000
 NUMERIC_SHARE = 0.995
 FITS_ROWS_PER_TASK = 1_000_000
 
@@ -118,11 +120,11 @@ def sniff(path: str) -> tuple[str, bool, int]:
     return d, sum(not numeric(c) for c in cells) >= max(1, len(cells) // 2), len(cells)
 
 
-def infer_types(df: DataFrame, rows: int | None = INFER_ROWS) -> dict[str, str]:
-    """boolean, bigint, double or string for each text column, from one aggregate over the first ``rows`` rows (None: all).
+def infer_types(df: DataFrame) -> dict[str, str]:
+    """boolean, bigint, double or string for each text column, from one aggregate over all rows.
 
     Columns whose values are all true or false are boolean; those of which NUMERIC_SHARE or more are numbers are double, or bigint if
-    no number has a fraction; columns without values are string.
+    no number has a fraction; columns without values are string. Values that such a column can't hold are counted in the log.
     """
     aggs = []
     for i, c in enumerate(df.columns):
@@ -131,7 +133,7 @@ def infer_types(df: DataFrame, rows: int | None = INFER_ROWS) -> dict[str, str]:
         aggs += [
             F.count(v).alias(f"n{i}"), F.count(n).alias(f"k{i}"), F.count_if(F.lower(v).isin("true", "false")).alias(f"b{i}"), F.count_if(n != F.floor(n)).alias(f"f{i}")
         ]
-    r = (df if rows is None else df.limit(rows)).agg(*aggs).first()
+    r = df.agg(*aggs).first()
     out = {}
     for i, c in enumerate(df.columns):
         n = r[f"n{i}"]
@@ -139,6 +141,8 @@ def infer_types(df: DataFrame, rows: int | None = INFER_ROWS) -> dict[str, str]:
             out[c] = "boolean"
         elif n and r[f"k{i}"] / n >= NUMERIC_SHARE:
             out[c] = "double" if r[f"f{i}"] else "bigint"
+            if n > r[f"k{i}"]:
+                log.warning("column %s: %d values are no numbers and become null", c, n - r[f"k{i}"])
         else:
             out[c] = "string"
     return out
@@ -164,25 +168,31 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
 def read_text(spark: SparkSession, path: str) -> DataFrame:
     """A delimited text file with inferred types. ``#`` lines are comments; bad bytes are replaced.
 
-    Files that Hadoop can't unpack (xz, zst) are unpacked within one task; the others are read by Spark's own CSV source.
+    A file is read in many tasks unless a quoted value holds a line break, which one pass over its lines finds out. Files that Hadoop
+    can't unpack (xz, zst) are unpacked within one task.
     """
     delimiter, header, width = sniff(path)
-    options = {"sep": delimiter, "comment": "#", "quote": '"', "escape": '"', "multiLine": "true", "inferSchema": "false", "header": str(header).lower(), "mode": "PERMISSIVE"}
+    options = {"sep": delimiter, "comment": "#", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
     if path.lower().endswith((".xz", ".zst")):
-        rows = spark.createDataFrame([(path,)], "path string").mapInArrow(_unpacked_lines, "value string")
+        records = spark.createDataFrame([(path,)], "path string").mapInArrow(_unpacked_records, "value string, first boolean")
+        names = [f"col_{i}" for i in range(width)]
+        cells = F.from_csv("value", ", ".join(f"{n} string" for n in names), options).alias("c")
+        raw = records.where(~F.col("first")).select(cells).select("c.*") if header else records.select(cells).select("c.*")
         if header:
-            raw = spark.read.options(**options).csv(rows.rdd.map(lambda r: r[0]))
-        else:
-            raw = spark.read.options(**options).csv(rows.rdd.map(lambda r: r[0]))
+            got = records.where("first").select(cells).first()
+            raw = raw.toDF(*[v or n for n, v in zip(names, got["c"])])
     else:
-        raw = spark.read.options(**options).csv(path)
-    if not header:
-        raw = raw.toDF(*[f"col_{i}" for i in range(len(raw.columns))])
+        quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+        broken = not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
+        raw = spark.read.options(**options, multiLine=str(broken).lower(), inferSchema="false", header=str(header).lower()).csv(path)
+        if not header:
+            raw = raw.toDF(*[f"col_{i}" for i in range(len(raw.columns))])
     raw = unique_names(raw)
     return apply_types(raw, infer_types(raw))
 
 
-def _unpacked_lines(batches):
+def _unpacked_records(batches):
+    """(value, first): the records of packed files, comments left out; a record ends at a line break outside quotes."""
     for b in batches:
         for path in b.column("path").to_pylist():
             if path.lower().endswith(".xz"):
@@ -191,9 +201,21 @@ def _unpacked_lines(batches):
                 import zstandard
 
                 opened = zstandard.open(path, "rt", encoding="utf-8", errors="replace")
+            out, part, first = [], "", True
             with opened as f:
-                while lines := f.readlines(1 << 22):
-                    yield pa.RecordBatch.from_arrays([pa.array([x.rstrip("\r\n") for x in lines])], names=["value"])
+                for line in f:
+                    if not part and (line.startswith("#") or not line.strip()):
+                        continue
+                    part += line
+                    if part.count('"') % 2 == 0:
+                        out.append(part.rstrip("\r\n"))
+                        part = ""
+                    if len(out) == 10_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(out), pa.array([first] + [False] * (len(out) - 1))], names=["value", "first"])
+                        out, first = [], False
+            out += [part.rstrip("\r\n")] if part else []
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(out), pa.array([first] + [False] * (len(out) - 1))], names=["value", "first"])
 
 
 # ------------------------------------------------------------------- FITS

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions.healpix import order_for, pixel
 from skyloom.operators.consolidate import empty_columns
+from skyloom.session import write_note
 
 # Rows that a HATS pixel should hold, and the widest text column of a FITS table in bytes.
 ROWS_PER_PIXEL = 1_000_000
@@ -51,7 +52,7 @@ def save_hats(df: DataFrame, path: str, rows_per_pixel: int = ROWS_PER_PIXEL) ->
     out = out.repartitionByRange(parts, "_healpix_29").sortWithinPartitions("Npix", "_healpix_29")
     out.write.mode("overwrite").partitionBy("Norder", "Dir", "Npix").parquet(f"{path}/dataset")
     text = {"dataproduct_type": "object", "hats_col_ra": "ra", "hats_col_dec": "dec", "hats_nrows": rows, "hats_order": order, "hats_max_rows": rows_per_pixel}
-    Path(path, "hats.properties").write_text("".join(f"{k}={v}\n" for k, v in text.items()))
+    write_note(df.sparkSession, f"{path}/hats.properties", "".join(f"{k}={v}\n" for k, v in text.items()))
 
 
 def fits_ready(df: DataFrame) -> DataFrame:
@@ -78,12 +79,14 @@ def fits_ready(df: DataFrame) -> DataFrame:
 
 
 def text_widths(df: DataFrame) -> dict[str, int]:
-    """Bytes that the text columns need: the longest value, 1 at least and WIDEST at most."""
+    """Bytes that the text columns need: the longest value, 1 at least. ValueError beyond WIDEST, as the value would be cut."""
     text = [c for c, t in df.dtypes if t == "string"]
     if not text:
         return {}
     r = df.agg(*[F.max(F.octet_length(f"`{c}`")).alias(str(i)) for i, c in enumerate(text)]).first()
-    return {c: min(WIDEST, max(1, r[str(i)] or 1)) for i, c in enumerate(text)}
+    if wide := [c for i, c in enumerate(text) if (r[str(i)] or 0) > WIDEST]:
+        raise ValueError(f"text longer than {WIDEST} bytes doesn't fit a FITS column: {wide}")
+    return {c: max(1, r[str(i)] or 1) for i, c in enumerate(text)}
 
 
 def save_fits(df: DataFrame, path: str) -> None:
@@ -107,6 +110,7 @@ def save_fits(df: DataFrame, path: str) -> None:
         text = "".join(x.ljust(80) for x in [*lines, "END"])
         return text.ljust(-(-len(text) // 2880) * 2880).encode("ascii", "replace")
 
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
     with open(path, "wb") as f:
         f.write(block(["SIMPLE  =                    T", "BITPIX  =                    8", "NAXIS   =                    0", "EXTEND  =                    T"]))
         f.write(block(cards))

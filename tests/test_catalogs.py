@@ -117,3 +117,22 @@ def test_hdf5_says_what_it_needs(spark):
     except ImportError:
         with pytest.raises(ImportError, match="h5py"):
             read_hdf5(spark, "x.h5")
+
+
+def test_text_files_split_unless_a_value_holds_a_line_break(spark, tmp_path):
+    plain, broken = tmp_path / "plain.csv", tmp_path / "broken.csv"
+    plain.write_text("a,b\n" + "".join(f"{i},x{i}\n" for i in range(20_000)) + "9z,last\n")
+    broken.write_text('a,b\n1,"two\nlines"\n2,x\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        df = read_catalog(spark, str(plain))
+        assert df.rdd.getNumPartitions() > 4 and df.count() == 20_001
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert dict(df.dtypes)["a"] == "bigint" and df.where("a is null").count() == 1
+    assert sorted(tuple(r) for r in read_catalog(spark, str(broken)).collect()) == [(1, "two\nlines"), (2, "x")]
+
+
+def test_text_that_fits_does_not_hold(spark):
+    with pytest.raises(ValueError, match="doesn't fit"):
+        sinks.text_widths(spark.createDataFrame([("x" * 70_000,)], "s string"))
