@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from skyloom.functions.text import canonical_id, strip
 from skyloom.operators.graph import groups, is_star, neighbors
+from skyloom.operators.joins import hot_keys, lookup
+from skyloom.session import Scratch, seen
 
 # Spectroscopic before grism before photometric.
 TYPE_ORDER = {"s": 3, "g": 2, "p": 1}
@@ -68,22 +70,23 @@ def deduplicate(df: DataFrame, priorities: Sequence[str], gap: float = 0.0, type
         raise ValueError("the gap can't be negative")
     came = F.col("tie_result").cast("int") if "tie_result" in df.columns else F.lit(None).cast("int")
     wanted = [c for c in dict.fromkeys(["z", "z_flag_homogenized", *priorities])]
-    key = canonical_id(F.col("CRD_ID"))
+    key, scratch = canonical_id(F.col("CRD_ID")), Scratch(df.sparkSession, "ties")
+    named = scratch.keep(neighbors(df))
     rows = df.where(key.isNotNull()).groupBy(key.alias("CRD_ID")).agg(F.min(F.struct(*[F.col(c) for c in wanted], came.alias("came"))).alias("r")).select("CRD_ID", "r.*")
-    rows = rows.join(groups(df), "CRD_ID").withColumn("star", is_star(F.col("z_flag_homogenized")))
+    rows = rows.join(groups(df, named), "CRD_ID").withColumn("star", is_star(F.col("z_flag_homogenized")))
     scores = [type_score(F.col(c), type_order) if dict(df.dtypes)[c] == "string" else F.col(c) for c in priorities]
-    rows = rows.withColumn("score", priority_key(scores, ~F.col("star")))
+    rows = scratch.keep(rows.select("CRD_ID", "group", "star", "z", "came", priority_key(scores, ~F.col("star")).alias("score")))
+    hot = hot_keys(rows, "group", seen(rows))
     best = rows.groupBy("group").agg(F.max("score").alias("best"), F.count(F.lit(1)).alias("size"))
-    rows = rows.join(best, "group")
-    leaders = pieces(rows.where("score = best").select("group", F.col("CRD_ID").alias("id"), F.col("z").alias("x")), gap).select(F.col("id").alias("CRD_ID"), F.lit(True).alias("stays"))
-    rows = rows.join(leaders, "CRD_ID", "left").withColumn("stays", F.coalesce("stays", F.lit(False)))
-    counts = rows.groupBy("group").agg(F.count_if("stays").alias("k"))
-    rows = rows.join(counts, "group")
+    rows = scratch.keep(lookup(rows, best, "group", hot).select("CRD_ID", "group", "star", "z", "came", "size", (F.col("score") == F.col("best")).alias("leads")))
+    leaders = scratch.keep(pieces(rows.where("leads").select("group", F.col("CRD_ID").alias("id"), F.col("z").alias("x")), gap))
+    counts = leaders.groupBy("group").agg(F.count(F.lit(1)).alias("k"))
+    stays = leaders.select(F.col("id").alias("CRD_ID"), F.lit(True).alias("stays"))
+    rows = lookup(rows.join(stays, "CRD_ID", "left"), counts, "group", hot, "left")
     tie = F.when(F.col("star"), 3).when(F.col("size") == 1, 1).when(F.col("stays"), F.when(F.col("k") == 1, 1).otherwise(2)).otherwise(0)
     if restore:
-        n = neighbors(df)
-        stars = rows.where("star").select(F.col("CRD_ID").alias("neighbor"), F.lit(True).alias("is_star"))
-        real = n.join(stars, "neighbor", "left").where("is_star is null").select("CRD_ID", F.lit(True).alias("linked")).distinct()
+        stars = rows.where("star").select(F.col("CRD_ID").alias("neighbor"))
+        real = named.join(stars, "neighbor", "left_anti").select("CRD_ID", F.lit(True).alias("linked")).distinct()
         rows = rows.join(real, "CRD_ID", "left")
         tie = F.when(~F.col("star") & F.col("linked").isNull(), F.coalesce("came", F.lit(1))).otherwise(tie)
     return rows.select("CRD_ID", "group", tie.cast("int").alias("tie_result"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -44,43 +46,6 @@ def _components_of(df: DataFrame) -> DataFrame:
     return ids.join(found.withColumnRenamed("id", "CRD_ID"), "CRD_ID", "left").withColumn("component", F.coalesce("component", "CRD_ID"))
 
 
-def tie_violations(df: DataFrame, gap: float = 0.001) -> DataFrame:
-    """(rule, component, CRD_ID): broken rules of tie_result; CRD_ID is null for rules about a whole component.
-
-    Components leave stars out. The last rules look at components of two rows or more.
-    """
-    star = is_star(F.col("z_flag_homogenized"))
-    rows = _components_of(df).select(
-        "CRD_ID", "component", star.alias("star"), F.coalesce(F.col("tie_result"), F.lit(0)).alias("tie"),
-        F.when(~F.isnan("z"), F.col("z")).alias("z"), F.coalesce(F.when(~F.isnan("z_flag_homogenized"), F.col("z_flag_homogenized")), F.lit(-1.0)).alias("flag"),
-        type_score(F.col("instrument_type_homogenized")).alias("score"),
-    )
-    single = rows.select(
-        F.when(F.col("star") & (F.col("tie") != 3), "STAR_MUST_BE_3").when(~F.col("star") & (F.col("tie") == 3), "NONSTAR_MUST_NOT_BE_3").alias("rule"), "component", "CRD_ID"
-    ).where("rule is not null")
-    alive = F.col("tie").isin(1, 2)
-    best = F.struct("flag", "score")
-    g = rows.where(~F.col("star")).groupBy("component").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("tie") == 1).alias("ones"), F.count_if(F.col("tie") == 2).alias("twos"),
-        F.max("flag").alias("flag"), F.max(best).alias("best"), F.max(F.when(alive, best)).alias("lead"), F.min(F.when(alive, best)).alias("tail"),
-        F.min(F.when(alive, F.col("z"))).alias("z_lo"), F.max(F.when(alive, F.col("z"))).alias("z_hi"), F.count(F.when(alive, F.col("z"))).alias("with_z"),
-    ).where("n > 1")
-    alive_n = F.col("ones") + F.col("twos")
-    rules: list[tuple[str, Column]] = [
-        ("GROUP_NO_SURVIVOR_SUSPECT", alive_n == 0),
-        ("GROUP_SINGLE_SURVIVOR_MUST_BE_1", (alive_n == 1) & (F.col("ones") == 0)),
-        ("GROUP_MULTI_SURVIVOR_MUST_BE_2", (alive_n > 1) & (F.col("ones") > 0)),
-        ("GROUP_FLAG_DOMINANCE", (alive_n > 0) & (F.col("tail.flag") < F.col("flag"))),
-        ("GROUP_TYPE_DOMINANCE", (alive_n > 0) & (F.col("tail.flag") == F.col("flag")) & (F.col("tail") < F.col("best"))),
-        ("GROUP_DELTZ_INDEPENDENCE", (alive_n == 2) & (F.col("with_z") == 2) & (F.col("z_hi") - F.col("z_lo") <= gap)),
-        ("PAIR_0v0_SUSPECT", (F.col("n") == 2) & (alive_n == 0)),
-        ("PAIR_INVALID_TIE_PATTERN", (F.col("n") == 2) & ((F.col("ones") == 2) | ((F.col("ones") == 1) & (F.col("twos") == 1)) | ((F.col("ones") == 0) & (F.col("twos") == 1)))),
-    ]
-    named = F.filter(F.array(*[F.when(c, F.lit(name)) for name, c in rules]), lambda v: v.isNotNull())
-    whole = g.select(F.explode(named).alias("rule"), "component", F.lit(None).cast("string").alias("CRD_ID"))
-    return single.select("rule", "component", "CRD_ID").unionAll(whole)
-
-
 def smallest_gaps(rows: DataFrame, width: float) -> DataFrame:
     """(component, z) -> (component, gap): the smallest distance of two z of a component, null if it has only one.
 
@@ -96,8 +61,7 @@ def smallest_gaps(rows: DataFrame, width: float) -> DataFrame:
 def tie_findings(df: DataFrame, gap: float = 0.001) -> DataFrame:
     """(rule, component, CRD_ID): broken rules of tie_result by the reference's definitions; CRD_ID is null for rules about a whole component.
 
-    Unlike ``tie_violations``, pairs have rules of their own, with flag, type and redshift of both rows, and of larger components any
-    two survivors with the best flag and type have to be more than ``gap`` apart. Components leave out stars and rows marked as such.
+    Pairs have rules of their own, with flag, type and redshift of both rows, and of larger components any two survivors with the best flag and type have to be more than ``gap`` apart. Components leave out stars and rows marked as such.
     """
     scratch = Scratch(df.sparkSession, "tie-findings")
     rows = scratch.keep(_components_of(df).select(
@@ -156,19 +120,9 @@ def tie_crosstab(df: DataFrame) -> DataFrame:
     return df.groupBy(flag.alias("flag")).agg(*ties, F.count_if(~F.coalesce(F.col("tie_result").between(0, 3), F.lit(False))).alias("other"))
 
 
-def group_buckets(df: DataFrame, group: str = "component") -> DataFrame:
-    """(bucket, groups, rows): groups of two rows or more by kind.
-
-    CASE1 has a winner, CASE2 has none; small is two rows; same or diff is whether all sources agree.
-    """
-    rows = _components_of(df) if group == "component" else df
-    g = rows.where(~is_star(F.col("z_flag_homogenized"))).groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("tie_result") == 1).alias("ones"), F.count_distinct("source").alias("sources")
-    ).where("n > 1")
-    name = F.concat(
-        F.when(F.col("ones") > 0, "CASE1").otherwise("CASE2"), F.when(F.col("n") == 2, "_small").otherwise("_large"), F.when(F.col("sources") <= 1, "_same").otherwise("_diff")
-    )
-    return g.groupBy(name.alias("bucket")).agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows"))
+def nonstar_components(df: DataFrame) -> DataFrame:
+    """The rows that aren't stars, one for each CRD_ID, with the ``component`` of the links between such rows."""
+    return _components_of(df).where(~is_star(F.col("z_flag_homogenized")))
 
 
 def linked_groups(df: DataFrame) -> DataFrame:
@@ -207,6 +161,48 @@ def tie_preservation(before: DataFrame, after: DataFrame, key: str = "CRD_ID") -
     return a.join(b, key, "left").groupBy("before", F.coalesce("now", F.lit(-2)).alias("after")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def guarded_ties(df: DataFrame, after: DataFrame) -> DataFrame:
+    """(kind, rows, kept) of the rows that a run has to leave alone: those without neighbors and with stars only keep the tie_result they
+    came with (null: 1), stars are 3. ``after`` has CRD_ID and tie_result; copies of a row count once; ``kept`` are the right ones.
+    """
+    ids = df.groupBy(canonical_id(F.col("CRD_ID")).alias("CRD_ID")).agg(F.max(is_star(F.col("z_flag_homogenized"))).alias("star"), F.min(F.col("tie_result").cast("int")).alias("before"))
+    n = neighbors(df).join(ids.select(F.col("CRD_ID").alias("neighbor"), F.col("star").alias("to_star")), "neighbor", "left")
+    n = n.groupBy("CRD_ID").agg(F.min(F.coalesce("to_star", F.lit(False))).alias("stars_only"))
+    kind = F.when(F.col("star"), "star").when(F.col("stars_only").isNull(), "no neighbors").when(F.col("stars_only"), "stars only")
+    rows = ids.where("CRD_ID is not null").join(n, "CRD_ID", "left").withColumn("kind", kind).where("kind is not null").join(after.select("CRD_ID", "tie_result"), "CRD_ID")
+    right = F.when(F.col("kind") == "star", F.col("tie_result") == 3).otherwise(F.col("tie_result") == F.coalesce("before", F.lit(1)))
+    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("rows"), F.count_if(right).alias("kept"))
+
+
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, count, mean, std, min, q25, q50, q75, max) of numeric columns; null and NaN don't count. Quartiles are exact.
+
+    Equal values are counted before they are ordered, and ordered by ranges that are numbered from the sizes of those before.
+    """
+    values = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])).alias("c")).select("c.*")
+    counted = values.where("v is not null and not isnan(v)").groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    placed = Scratch(df.sparkSession, "describe").keep(counted.repartitionByRange("column", "v").withColumn("part", F.spark_partition_id()))
+    sizes = placed.groupBy("column", "part").agg(F.sum("n").alias("size"))
+    by = W.partitionBy("column")
+    sizes = sizes.withColumns({"before": F.sum("size").over(by.orderBy("part")) - F.col("size"), "count": F.sum("size").over(by)})
+    end = F.col("before") + F.sum("n").over(W.partitionBy("column", "part").orderBy("v"))
+    ranked = placed.join(sizes, ["column", "part"]).withColumn("end", end)
+
+    def quarter(p: float) -> Column:
+        at = p * (F.col("count") - 1)
+        holds = lambda k: F.max(F.when((k >= F.col("end") - F.col("n")) & (k < F.col("end")), F.col("v")))
+        low = holds(F.floor(at))
+        return low + F.max(at - F.floor(at)) * (F.coalesce(holds(F.floor(at) + 1), low) - low)
+
+    rest = ranked.groupBy("column").agg(
+        F.max("count").alias("count"), F.min("v").alias("min"), quarter(0.25).alias("q25"), quarter(0.5).alias("q50"), quarter(0.75).alias("q75"), F.max("v").alias("max")
+    )
+    stats = df.agg(*[f(F.when(~F.isnan(c), F.col(c).cast("double"))).alias(f"{c}_{n}") for c in columns for n, f in (("mean", F.avg), ("std", F.stddev_samp))])
+    parts = [F.struct(F.lit(c).alias("column"), F.col(f"{c}_mean").alias("mean"), F.col(f"{c}_std").alias("std")) for c in columns]
+    out = stats.select(F.explode(F.array(*parts)).alias("c")).select("c.*").join(rest, "column", "left")
+    return out.select("column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "q25", "q50", "q75", "max")
+
+
 def group_integrity(df: DataFrame, group: str = "group") -> DataFrame:
     """(group, rows): groups of two rows or more in which no row names a neighbor."""
     g = df.groupBy(group).agg(F.count(F.lit(1)).alias("rows"), F.count_if(~is_na_token(F.col("compared_to"))).alias("named"))

@@ -13,7 +13,7 @@ from skyloom.operators import validate
 from skyloom.operators.consolidate import draw_one, drop_empty_columns, merge_labels, remove_duplicates, sample_rows, union_aligned
 from skyloom.operators.crossmatch import match, match_catalogs, merge_neighbors, neighbor_text, self_match
 from skyloom.operators.dedup import deduplicate, pieces, priority_key
-from skyloom.operators.graph import components, edges, groups
+from skyloom.operators.graph import components, edge_diagnostics, edges, groups
 from skyloom.operators.homogenize import FLAGS, TYPES, confidence_flag
 from skyloom.plans.prepare import fault_counts, ids_by_order, quality_cut
 from skyloom.session import table
@@ -57,9 +57,15 @@ def _na(x: str) -> str:
 # ------------------------------------------------------- projections and types
 
 
-@query("SELECT CRD_ID, id AS object_id, ra, dec, z AS redshift, CAST(NULL AS VARCHAR) AS remark, survey AS catalog FROM crd_catalog")
+def _no_nan(x: str) -> str:
+    return f"CASE WHEN NOT isnan({x}) THEN {x} END"
+
+
+# NaN is a missing value, here as everywhere.
+@query(f"SELECT CRD_ID, id AS object_id, {_no_nan('ra')} AS ra, {_no_nan('dec')} AS dec, {_no_nan('z')} AS redshift, CAST(NULL AS VARCHAR) AS remark, survey AS catalog FROM crd_catalog")
 def scan_project_rename(spark, d):
-    df = _catalog(spark, d).select("CRD_ID", F.col("id").alias("object_id"), "ra", "dec", F.col("z").alias("redshift"), F.col("survey").alias("catalog"))
+    numbers = [nan_to_null(F.col(c)).alias(n) for c, n in (("ra", "ra"), ("dec", "dec"), ("z", "redshift"))]
+    df = _catalog(spark, d).select("CRD_ID", F.col("id").alias("object_id"), *numbers, F.col("survey").alias("catalog"))
     return df.withColumn("remark", F.lit(None).cast("string"))
 
 
@@ -87,7 +93,7 @@ FROM (SELECT count(v) AS n, count(*) FILTER (lower(v) IN ('true', 'false')) AS b
 
 @query(" UNION ALL ".join(map(_inferred, _INFERRED)))
 def csv_type_inference(spark, d):
-    types = infer_types(_catalog(spark, d).select(*[F.col(c).cast("string").alias(c) for c in _INFERRED]), rows=None)
+    types = infer_types(_catalog(spark, d).select(*[F.col(c).cast("string").alias(c) for c in _INFERRED]))
     return spark.createDataFrame(list(types.items()), "column string, type string")
 
 
@@ -166,6 +172,13 @@ def survey_coverage(spark, d):
     return _catalog(spark, d).select(F.upper(F.trim("survey")).alias("survey")).where("survey is not null").distinct().join(known, "survey", "left_anti")
 
 
+@query("""SELECT DISTINCT upper(trim(survey)) AS survey FROM crd_catalog WHERE upper(trim(survey)) NOT IN (SELECT upper(survey) FROM catalog_columns WHERE survey IS NOT NULL AND source < '010')""")
+def survey_coverage_by_some(spark, d):
+    """The surveys that the catalogs before number 010 don't name."""
+    known = table(spark, d, "catalog_columns").where("source < '010'").select(F.upper("survey").alias("survey"))
+    return _catalog(spark, d).select(F.upper(F.trim("survey")).alias("survey")).where("survey is not null").distinct().join(known, "survey", "left_anti")
+
+
 @query("""SELECT source, count(*) FILTER (z_flag_homogenized IS NOT NULL AND NOT isnan(z_flag_homogenized) AND z_flag_homogenized NOT IN (0, 1, 2, 3, 4, 6)) AS flags,
   count(*) FILTER (instrument_type_homogenized NOT IN ('s', 'g', 'p')) AS types FROM crd_catalog GROUP BY source""")
 def domain_check(spark, d):
@@ -305,6 +318,15 @@ def edges_nonstar(spark, d):
     return edges(_catalog(spark, d))
 
 
+@query(f"""WITH {_EDGES}, l AS (SELECT {_canon('CRD_ID')} AS a, {_canon("unnest(string_split(compared_to, ','))")} AS b FROM crd_catalog),
+k AS (SELECT l.*, x.star AS sa, y.star AS sb, y.CRD_ID IS NULL AS gone FROM l LEFT JOIN ids x ON x.CRD_ID = l.a LEFT JOIN ids y ON y.CRD_ID = l.b WHERE b <> '' AND a IS NOT NULL)
+SELECT count(*) AS named, count(*) FILTER (a = b) AS of_itself, count(*) FILTER (a <> b AND sa) AS from_star, count(*) FILTER (a <> b AND NOT sa AND coalesce(sb, false)) AS to_star,
+  count(*) FILTER (a <> b AND NOT sa AND gone) AS to_absent, count(*) FILTER (a <> b AND NOT sa AND NOT gone AND NOT sb) AS linking,
+  (SELECT count(*) FROM e) AS edges FROM k""")
+def edge_counts(spark, d):
+    return edge_diagnostics(_catalog(spark, d))
+
+
 @query(f"WITH RECURSIVE {_COMPONENTS} SELECT id, component FROM comp")
 def connected_components(spark, d):
     return components(edges(_catalog(spark, d)))
@@ -348,11 +370,11 @@ def guard_restore(spark, d):
     return _labels(spark, d, restore=True)
 
 
-@query(f"""WITH RECURSIVE {_SCORED} SELECT c.CRD_ID, c.z, t."group", coalesce(t.tie_result, c.tie_result) AS tie_result
+@query(f"""WITH RECURSIVE {_SCORED} SELECT c.CRD_ID, {_no_nan('c.z')} AS z, t."group", coalesce(t.tie_result, c.tie_result) AS tie_result
 FROM (SELECT CRD_ID, z, tie_result FROM crd_catalog) c LEFT JOIN (SELECT * FROM tie WHERE tie_result IN (1, 2)) t ON t.CRD_ID = c.CRD_ID""")
 def merged_labels(spark, d):
     labels = _labels(spark, d).where("tie_result in (1, 2)")
-    return merge_labels(_catalog(spark, d).select("CRD_ID", "z", "tie_result"), labels).select("CRD_ID", "z", "group", "tie_result")
+    return merge_labels(_catalog(spark, d).select("CRD_ID", nan_to_null(F.col("z")).alias("z"), "tie_result"), labels).select("CRD_ID", "z", "group", "tie_result")
 
 
 @query(f"WITH RECURSIVE {_SCORED} SELECT CRD_ID, tie_result FROM tie WHERE tie_result = 1")
@@ -388,6 +410,13 @@ def empty_columns_dropped(spark, d):
     return drop_empty_columns(df)
 
 
+@query(f"""SELECT CRD_ID, source, z FROM (SELECT DISTINCT CRD_ID, source, z FROM crd_catalog WHERE z IS NOT NULL AND NOT isnan(z)) ORDER BY z DESC, CRD_ID LIMIT 100""")
+def highest_redshifts(spark, d):
+    """The 100 rows with the highest redshifts."""
+    rows = _rows(spark, d).where("z is not null and not isnan(z)").select("CRD_ID", "source", "z").distinct()
+    return rows.orderBy(F.desc("z"), "CRD_ID").limit(100)
+
+
 @query("SELECT CRD_ID, id FROM (SELECT DISTINCT CRD_ID, id FROM crd_catalog) ORDER BY md5('42:' || CRD_ID), CRD_ID LIMIT 1000")
 def reservoir_sample(spark, d):
     return sample_rows(_catalog(spark, d).select("CRD_ID", "id").distinct(), "CRD_ID", 1000)
@@ -411,26 +440,6 @@ def intra_source_cells(spark, d):
 _ALIVE = "tie IN (1, 2)"
 
 
-@query(f"""WITH RECURSIVE {_COMPONENTS},
-r AS (SELECT DISTINCT {_canon('c.CRD_ID')} AS CRD_ID, coalesce(component, {_canon('c.CRD_ID')}) AS component, coalesce(z_flag_homogenized = 6, false) AS star, coalesce(tie_result, 0) AS tie,
-  CASE WHEN isnan(z) THEN NULL ELSE z END AS z, CASE WHEN z_flag_homogenized IS NULL OR isnan(z_flag_homogenized) THEN -1 ELSE z_flag_homogenized END AS flag,
-  CASE trim(instrument_type_homogenized, '{_B}') WHEN 's' THEN 3 WHEN 'g' THEN 2 WHEN 'p' THEN 1 ELSE 0 END AS score FROM crd_catalog c LEFT JOIN comp ON comp.id = {_canon('c.CRD_ID')}),
-g AS (SELECT component, count(*) AS n, count(*) FILTER (tie = 1) AS ones, count(*) FILTER (tie = 2) AS twos, max(flag) AS flag, max(flag * 10 + score) AS best,
-  min(CASE WHEN {_ALIVE} THEN flag * 10 + score END) AS tail, min(CASE WHEN {_ALIVE} THEN flag END) AS tail_flag,
-  min(CASE WHEN {_ALIVE} THEN z END) AS zlo, max(CASE WHEN {_ALIVE} THEN z END) AS zhi, count(CASE WHEN {_ALIVE} THEN z END) AS wz FROM r WHERE NOT star GROUP BY component HAVING count(*) > 1)
-SELECT CASE WHEN star AND tie <> 3 THEN 'STAR_MUST_BE_3' ELSE 'NONSTAR_MUST_NOT_BE_3' END AS rule, component, CRD_ID FROM r WHERE (star AND tie <> 3) OR (NOT star AND tie = 3)
-UNION ALL SELECT 'GROUP_NO_SURVIVOR_SUSPECT', component, NULL FROM g WHERE ones + twos = 0
-UNION ALL SELECT 'GROUP_SINGLE_SURVIVOR_MUST_BE_1', component, NULL FROM g WHERE ones + twos = 1 AND ones = 0
-UNION ALL SELECT 'GROUP_MULTI_SURVIVOR_MUST_BE_2', component, NULL FROM g WHERE ones + twos > 1 AND ones > 0
-UNION ALL SELECT 'GROUP_FLAG_DOMINANCE', component, NULL FROM g WHERE ones + twos > 0 AND tail_flag < flag
-UNION ALL SELECT 'GROUP_TYPE_DOMINANCE', component, NULL FROM g WHERE ones + twos > 0 AND tail_flag = flag AND tail < best
-UNION ALL SELECT 'GROUP_DELTZ_INDEPENDENCE', component, NULL FROM g WHERE ones + twos = 2 AND wz = 2 AND zhi - zlo <= 0.001
-UNION ALL SELECT 'PAIR_0v0_SUSPECT', component, NULL FROM g WHERE n = 2 AND ones + twos = 0
-UNION ALL SELECT 'PAIR_INVALID_TIE_PATTERN', component, NULL FROM g WHERE n = 2 AND (ones = 2 OR (ones = 1 AND twos = 1) OR (ones = 0 AND twos = 1))""")
-def tie_rule_violations(spark, d):
-    return validate.tie_violations(_rows(spark, d))
-
-
 @query(f"""WITH RECURSIVE {_COMPONENTS},
 r AS (SELECT DISTINCT {_canon('c.CRD_ID')} AS CRD_ID, coalesce(component, {_canon('c.CRD_ID')}) AS component, coalesce(z_flag_homogenized = 6, false) AS star, coalesce(tie_result, -1) AS tie,
   CASE WHEN isnan(z) THEN NULL ELSE z END AS z, CASE WHEN z_flag_homogenized IS NULL OR isnan(z_flag_homogenized) THEN -1 ELSE z_flag_homogenized END AS flag,
@@ -456,6 +465,12 @@ def tie_rule_findings(spark, d):
     return validate.tie_findings(_rows(spark, d))
 
 
+@query(SQL["tie_rule_findings"])
+def tie_rule_violations(spark, d):
+    """The same under its older name, by which it is timed."""
+    return tie_rule_findings(spark, d)
+
+
 @query(f"""WITH r AS (SELECT DISTINCT CRD_ID, tie_result, coalesce(z_flag_homogenized = 6, false) AS star, ({_na('compared_to')}) IS NULL AS alone FROM crd_catalog)
 SELECT CRD_ID, tie_result, CASE WHEN star AND coalesce(tie_result, -1) <> 3 THEN 'star is not 3' WHEN NOT star AND tie_result = 3 THEN '3 is no star' ELSE 'no neighbors but not 1' END AS problem
 FROM r WHERE (star AND coalesce(tie_result, -1) <> 3) OR (NOT star AND tie_result = 3) OR (alone AND NOT star AND coalesce(tie_result, -1) <> 1)""")
@@ -470,15 +485,6 @@ def tie_crosstab(spark, d):
     return validate.tie_crosstab(_catalog(spark, d))
 
 
-@query(f"""WITH RECURSIVE {_COMPONENTS}, r AS (SELECT DISTINCT {_canon('c.CRD_ID')} AS CRD_ID, source, tie_result, coalesce(component, {_canon('c.CRD_ID')}) AS component
-  FROM crd_catalog c LEFT JOIN comp ON comp.id = {_canon('c.CRD_ID')} WHERE NOT coalesce(z_flag_homogenized = 6, false)),
-g AS (SELECT component, count(*) AS n, count(*) FILTER (tie_result = 1) AS ones, count(DISTINCT source) AS s FROM r GROUP BY component HAVING count(*) > 1)
-SELECT CASE WHEN ones > 0 THEN 'CASE1' ELSE 'CASE2' END || CASE WHEN n = 2 THEN '_small' ELSE '_large' END || CASE WHEN s <= 1 THEN '_same' ELSE '_diff' END AS bucket,
-  count(*) AS groups, CAST(sum(n) AS BIGINT) AS "rows" FROM g GROUP BY 1""")
-def group_buckets(spark, d):
-    return validate.group_buckets(_rows(spark, d))
-
-
 @query(f"""WITH RECURSIVE {_SCORED}, a AS (SELECT DISTINCT CRD_ID, coalesce(tie_result, -1) AS b FROM crd_catalog)
 SELECT b AS before, coalesce(t.tie_result, -2) AS after, count(*) AS "rows" FROM a LEFT JOIN tie t USING (CRD_ID) GROUP BY 1, 2""")
 def tie_preservation(spark, d):
@@ -501,6 +507,12 @@ b AS (SELECT CASE WHEN n = 2 THEN 'CASE1' ELSE 'CASE2' END || CASE WHEN small TH
 SELECT bucket, count(*) AS groups, CAST(sum(n) AS BIGINT) AS "rows" FROM b GROUP BY 1"""
 
 
+@query(f"""WITH RECURSIVE {_COMPONENTS}, r AS (SELECT DISTINCT {_canon('c.CRD_ID')} AS CRD_ID, coalesce(component, {_canon('c.CRD_ID')}) AS g, {_CASE_COLUMNS}
+  FROM crd_catalog c LEFT JOIN comp ON comp.id = {_canon('c.CRD_ID')} WHERE NOT coalesce(z_flag_homogenized = 6, false)), {_CASES}""")
+def group_buckets(spark, d):
+    return validate.group_cases(validate.nonstar_components(_rows(spark, d)), "component")
+
+
 def _grouped(spark, d) -> DataFrame:
     """The rows of the catalog with the groups of all labels."""
     return _rows(spark, d).withColumn("CRD_ID", canonical_id(F.col("CRD_ID"))).join(_labels(spark, d).select("CRD_ID", "group"), "CRD_ID")
@@ -524,10 +536,10 @@ def label_group_integrity(spark, d):
     return validate.group_integrity(_grouped(spark, d))
 
 
-@query(f"""WITH RECURSIVE {_SCORED} SELECT c.CRD_ID, c.z, t."group", coalesce(t.tie_result, c.tie_result) AS tie_result
+@query(f"""WITH RECURSIVE {_SCORED} SELECT c.CRD_ID, {_no_nan('c.z')} AS z, t."group", coalesce(t.tie_result, c.tie_result) AS tie_result
 FROM (SELECT CRD_ID, z, tie_result FROM crd_catalog) c LEFT JOIN tie t ON t.CRD_ID = c.CRD_ID""")
 def all_merged_labels(spark, d):
-    return merge_labels(_catalog(spark, d).select("CRD_ID", "z", "tie_result"), _labels(spark, d)).select("CRD_ID", "z", "group", "tie_result")
+    return merge_labels(_catalog(spark, d).select("CRD_ID", nan_to_null(F.col("z")).alias("z"), "tie_result"), _labels(spark, d)).select("CRD_ID", "z", "group", "tie_result")
 
 
 @query("SELECT CAST(tie_result AS INTEGER) AS tie_result, count(*) AS \"rows\", count(*) / (SELECT count(*) FROM crd_catalog)::DOUBLE AS share FROM crd_catalog GROUP BY 1")
@@ -550,3 +562,25 @@ def source_summary(spark, d):
     return _catalog(spark, d).groupBy("source").agg(
         F.count(F.lit(1)).alias("rows"), F.count("z").alias("with_z"), F.min(z).alias("z_min"), F.max(z).alias("z_max"), F.count_distinct("survey").alias("surveys")
     )
+
+
+_DESCRIBED = ("ra", "dec", "z", "z_err", "z_flag_homogenized")
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(v) AS "count", avg(v) AS mean, stddev_samp(v) AS std, min(v) AS min, quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.5) AS q50,
+  quantile_cont(v, 0.75) AS q75, max(v) AS max FROM (SELECT {_no_nan(c)} AS v FROM crd_catalog)""" for c in _DESCRIBED
+))
+def column_statistics(spark, d):
+    """Count, mean, deviation, extremes and exact quartiles of the numeric columns."""
+    return validate.describe(_catalog(spark, d), _DESCRIBED)
+
+
+@query(f"""WITH RECURSIVE {_RESTORED}, a AS (SELECT DISTINCT {_canon('CRD_ID')} AS CRD_ID, tie_result AS before FROM crd_catalog),
+k AS (SELECT i.CRD_ID, CASE WHEN i.star THEN 'star' WHEN NOT EXISTS (SELECT 1 FROM n WHERE n.CRD_ID = i.CRD_ID) THEN 'no neighbors'
+  WHEN i.CRD_ID NOT IN {_REAL} THEN 'stars only' END AS kind FROM ids i)
+SELECT kind, count(*) AS "rows", count(*) FILTER (CASE WHEN kind = 'star' THEN fin.tie_result = 3 ELSE fin.tie_result = coalesce(a.before, 1) END) AS kept
+FROM k JOIN fin USING (CRD_ID) JOIN a USING (CRD_ID) WHERE kind IS NOT NULL GROUP BY kind""")
+def guarded_ties(spark, d):
+    df = _rows(spark, d)
+    return validate.guarded_ties(df, _labels(spark, d, restore=True))

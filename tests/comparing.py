@@ -7,9 +7,9 @@ import duckdb
 
 
 def plain(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
-        return None
     if isinstance(v, float):
+        if math.isnan(v):
+            return "NaN"
         return round(v, 9)
     return v
 

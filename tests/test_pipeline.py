@@ -113,7 +113,7 @@ def test_consolidation(spark):
 def test_validators_find_nothing_in_own_output(spark, data):
     rows = spark.read.parquet(f"{data}/crd_catalog.parquet").drop("loaded_at", "tie_result").distinct()
     done = merge_labels(rows, deduplicate(rows, PRIORITIES, 0.001, restore=False))
-    assert validate.tie_violations(done, 0.0).count() == 0
+    assert validate.tie_findings(done, 0.001).count() == 0
     assert validate.unlinked_rule(done).where("problem <> 'no neighbors but not 1'").count() == 0
 
 
@@ -205,6 +205,44 @@ def test_whole_run(spark, tmp_path, mode, rows):
         assert "tie_result" not in out.columns
 
 
+def test_run_with_footprint_and_a_priority_of_its_own(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("name,RA,DEC,zz,q,who,depth,seen\nn1,10,-5,0.5,4,one,1.5,9\nn2,20,50,0.6,2,one,2,9\n")
+    (tmp_path / "in" / "b.csv").write_text("name,RA,DEC,zz,q,who,depth,seen\nm1,10.00001,-5,0.5001,4,one,3.5,9\n")
+    (tmp_path / "in" / "c.csv").write_text("name,RA,DEC,zz,q,who,depth,seen\nk1,10,-5.00001,0.5,4,one,2.5,9\nk2,200,0,0.5,4,one,2.5,9\n")
+    spark.createDataFrame([(float(k), 0.0) for k in range(0, 360, 5)], "ra double, dec double").write.parquet(str(tmp_path / "border"))
+    config = {
+        "inputs": {"specz": [{"path": str(tmp_path / "in" / f"{n}.csv"), "internal_name": f"00{i}_{n}", "columns": MAPPING} for i, n in enumerate("abc", 1)]},
+        "output_root_dir": str(tmp_path), "output_dir": "out", "output_name": "cat", "param": {"insert_rubin_footprint_flag": True, "footprint_border": str(tmp_path / "border")},
+    }
+    translations = {"ONE": {"z_flag": {"conditions": [{"expr": "seen == 9", "value": 4}], "default": 3}, "instrument_type": {"default": "s"}}}
+    rules = {"translation_rules": translations, "tiebreaking_priority": ["z_flag_homogenized", "depth"], "crossmatch_radius_arcsec": 0.5, "save_expr_columns": "true"}
+    work = str(tmp_path / "work")
+    report = pipeline.run(spark, config, rules, work)
+    out = {r["id"]: r for r in spark.read.parquet(report["output"]).collect()}
+    assert {k: r["tie_result"] for k, r in out.items()} == {"n1": 0, "m1": 1, "k1": 0, "n2": 1, "k2": 1}
+    assert {k: r["is_in_footprint"] for k, r in out.items()} == {"n1": 1, "m1": 1, "k1": 1, "n2": 0, "k2": 1} and out["m1"]["depth"] == 3.5 and out["k2"]["seen"] == 9
+    assert spark.read.parquet(f"{work}/checks/tie_counts").count() == 2 and json.loads((tmp_path / "work" / "config.json").read_text()) == config
+    # A run that is resumed matches nothing anew: what the phases left is taken as it is.
+    spark.read.parquet(f"{work}/labels").withColumn("tie_result", F.lit(2)).write.parquet(f"{work}/other")
+    (tmp_path / "work" / "labels").rename(tmp_path / "work" / "old")
+    (tmp_path / "work" / "other").rename(tmp_path / "work" / "labels")
+    again = pipeline.run(spark, config, rules, work)
+    assert {r["tie_result"] for r in spark.read.parquet(again["output"]).collect()} == {2}
+    with pytest.raises(ValueError, match="border"):
+        pipeline.run(spark, {**config, "param": {"insert_rubin_footprint_flag": True}}, rules, str(tmp_path / "w2"))
+
+
+def test_ids_stay_dense_when_partitions_are_coalesced(spark):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    try:
+        df = spark.range(5000).withColumn("text", F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")))
+        ids = prepare.ids_by_order(df, "012_x", "id").select("id", "CRD_ID").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert {r["id"]: r["CRD_ID"] for r in ids} == {i: f"CRD012_{i + 1}" for i in range(5000)}
+
+
 def test_runs_that_fail(spark, tmp_path):
     with pytest.raises(ValueError):
         pipeline.combine([spark.range(1)], "mix", {})
