@@ -2,55 +2,86 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions.text import nan_to_null, strip
-from skyloom.llm.groups import group_matches
+from skyloom.llm.groups import group_matches, linked, smallest_ids
 from skyloom.llm.leaks import find_leaks
 from skyloom.llm.packing import count_tokens, pack
-from skyloom.llm.survivors import Field, survivors
+from skyloom.llm.survivors import Field, count_claims, discover_truth, survivors
 from skyloom.llm.truncation import find_truncated
+from skyloom.operators.joins import hot_keys, lookup
 from skyloom.operators.packed import packed_values
-from skyloom.session import table
+from skyloom.session import Scratch, seen, table
 
 QUERIES = {}
 SQL = {}
 
+#: Where the public vocabularies lie on every machine.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 
 def query(f):
     QUERIES[f.__name__] = f
     return f
 
 
-def _groups(spark: SparkSession, d: str) -> DataFrame:
-    """Groups of the rows that aren't stars: flag 6 links nothing, neither from its own row nor from another."""
+def _links(spark: SparkSession, d: str) -> DataFrame:
+    """(CRD_ID, value) where a row names another of the table and neither is a star: flag 6 links nothing."""
     rows = table(spark, d, "crd_catalog").where(~F.coalesce(F.col("z_flag_homogenized") == 6, F.lit(False)))
-    named = packed_values(rows, "CRD_ID", "compared_to").select("CRD_ID", F.explode("values").alias("value"))
-    return group_matches(named.join(rows.select(F.col("CRD_ID").alias("value")), "value", "left_semi"), "CRD_ID", "value")
+    named = packed_values(rows, "CRD_ID", "compared_to").select("CRD_ID", F.explode_outer("values").alias("value")).where("value is not null")
+    # The hash goes first, as ids that begin alike are slow to sort.
+    key = F.xxhash64("value").alias("h")
+    return named.select("*", key).join(rows.select(F.col("CRD_ID").alias("value")).select("value", key), ["h", "value"], "left_semi").select("CRD_ID", "value")
 
 
 @query
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return _groups(spark, d).select(F.col("id").alias("CRD_ID"), "group_key")
+    return group_matches(_links(spark, d), "CRD_ID", "value").select(F.col("id").alias("CRD_ID"), "group_key")
+
+
+def _members(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, list[int]]:
+    """The catalog's rows that are in groups, with a number for the group; (group, group_key); and the hot groups."""
+    groups = Scratch(spark, "members").keep(linked(_links(spark, d), "CRD_ID", "value").select("id", "group"))
+    rows = table(spark, d, "crd_catalog").select(F.col("CRD_ID").alias("id"), "source", "z", "z_flag_homogenized", "instrument_type_homogenized")
+    key = F.xxhash64("id").alias("h")  # ids that begin alike are slow to sort
+    # Copies of a row are where the join put them, so that dropping them shuffles nothing.
+    rows = rows.select("*", key).join(groups.select("*", key), ["h", "id"]).distinct().drop("h")
+    return rows, smallest_ids(groups), hot_keys(groups, "group", seen(groups))
+
+
+def _rank(kind: Column) -> Column:
+    kind = strip(kind)
+    return F.when(kind == "s", 3).when(kind == "g", 2).when(kind == "p", 1).otherwise(0)
 
 
 @query
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    groups = _groups(spark, d).withColumnRenamed("group_key", "group")
-    rows = table(spark, d, "crd_catalog").select(F.col("CRD_ID").alias("id"), "source", "z", "z_flag_homogenized", "instrument_type_homogenized")
+    rows, keys, hot = _members(spark, d)
     flag = nan_to_null(F.col("z_flag_homogenized"))
-    kind = strip(F.col("instrument_type_homogenized"))
-    rank = F.when(kind == "s", 3).when(kind == "g", 2).when(kind == "p", 1).otherwise(0)
+    rank = _rank(F.col("instrument_type_homogenized"))
     fields = [
         Field("z_flag_homogenized", flag, F.coalesce(flag, F.lit(float("-inf")))),
         Field("instrument_type_homogenized", rank, rank),
     ]
-    out = survivors(rows.join(groups, "id"), fields, F.col("z"), 0.001)
-    return out.select(F.col("group").alias("group_key"), F.col("id").alias("CRD_ID"), "tie_result")
+    out = survivors(rows, fields, F.col("z"), 0.001, hot, repeated=False)
+    return lookup(out, keys, "group", hot).select("group_key", F.col("id").alias("CRD_ID"), "tie_result")
 
 
-_LINKS = r"""
+@query
+def p5_truth(spark: SparkSession, d: str) -> DataFrame:
+    """For each group the redshift (to 0.001) and the kind of instrument that the votes alone give, without any stated order."""
+    rows, keys, _ = _members(spark, d)
+    z, rank = F.round(nan_to_null(F.col("z")), 3), _rank(F.col("instrument_type_homogenized"))
+    # A missing value is no claim: it has less trust than any value there is.
+    fields = [Field("z", z, z.isNotNull().cast("int")), Field("instrument_type_homogenized", rank, (rank > 0).cast("int"))]
+    won, _, _ = discover_truth(Scratch(spark, "p5-truth").keep(count_claims(rows, fields)), [("v0", "t0"), ("v1", "t1")])
+    kind = F.element_at(F.create_map(F.lit(3), F.lit("s"), F.lit(2), F.lit("g"), F.lit(1), F.lit("p")), F.col("v1"))
+    return won.select("group", F.col("v0").alias("z"), kind.alias("instrument_type")).distinct().join(keys, "group").select("group_key", "z", "instrument_type")
+
+
+_LINKS_SQL = r"""
 f AS (
   SELECT DISTINCT CRD_ID,
     regexp_replace(regexp_replace(compared_to, '[\x{200B}-\x{200D}\x{FEFF}]', '', 'g'),
@@ -67,9 +98,9 @@ both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, w.b FROM reach r JOIN both_ways w ON r.b = w.a),
 g AS (SELECT a AS CRD_ID, least(a, min(b)) AS group_key FROM reach GROUP BY a)"""
 
-SQL["p6_found"] = f"WITH RECURSIVE {_LINKS} SELECT CRD_ID, group_key FROM g"
+SQL["p6_found"] = f"WITH RECURSIVE {_LINKS_SQL} SELECT CRD_ID, group_key FROM g"
 
-SQL["p5_found"] = f"""WITH RECURSIVE {_LINKS},
+SQL["p5_found"] = f"""WITH RECURSIVE {_LINKS_SQL},
 r AS (
   SELECT DISTINCT group_key, CRD_ID, CASE WHEN isnan(z) THEN NULL ELSE z END AS z,
     CASE WHEN z_flag_homogenized IS NULL OR isnan(z_flag_homogenized) THEN -1e9 ELSE z_flag_homogenized END AS flag,
@@ -89,10 +120,19 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return hits.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id")).distinct()
 
 
+# Documents and items meet on their runs of 13 words.
+SQL["p8_found"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items),
+dr AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) AS run FROM d WHERE len(w) >= 13),
+ir AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 11), lambda k: array_to_string(w[k:k + 12], ' '))) AS run FROM i WHERE len(w) >= 13)
+SELECT DISTINCT doc_id, item_id FROM dr JOIN ir USING (run)"""
+
+
 @query
 def p8_passages(spark: SparkSession, d: str) -> DataFrame:
     """For each document and item: the passages of 25 words or more that agree up to one edit for each such length."""
-    hits = find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), "doc_id", "text", "item_id", "text", words=25, edits=1, exact=False)
+    hits = find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), "doc_id", "text", "item_id", "text", words=25, exact=False)
     hits = hits.distinct().groupBy(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
     return hits.agg(F.count(F.lit(1)).alias("passages"), F.max(F.col("end") - F.col("start")).alias("longest"), F.min("edits").alias("least_edits"))
 
@@ -114,4 +154,4 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p7_packed(spark: SparkSession, d: str) -> DataFrame:
     """The place of each document in containers of 2,048 tokens."""
-    return pack(count_tokens(table(spark, d, "documents"), "doc_id", "text"), "doc_id", "tokens", 2048)
+    return pack(count_tokens(table(spark, d, "documents"), "doc_id", "text", VOCABULARY), "doc_id", "tokens", 2048)

@@ -1,10 +1,11 @@
 """The best representative of each duplicate group, by iterative truth discovery.
 
-For one field after another, the reliability of the sources and the support of the field's values in each group are estimated in
-turn until the reliabilities stand still: a value's support is its stated trust (a fixed order, where the project has one) and,
-within one degree of trust, the reliability-weighted votes for it; a source is as reliable as its claims agree with the values
-supported best. Rows that carry the best-supported value stay candidates for the next field. Claims are counted by (group, value,
-source) before anything else, so a group is as large here as it has different claims, however many rows it has.
+The reliability of the sources and the support of each field's values in each group are estimated in turn until the reliabilities
+stand still: a value's support is its stated trust (a fixed order, where the project has one: a prior that no votes overturn) and,
+within one degree of trust, the reliability-weighted votes for it; a source is as reliable as its claims on all fields agree with the
+values supported best. Fields are decided one after another: claims with the best-supported value stay candidates for the next field.
+Claims are counted by (group, values, source) before anything else, so a group is as large here as it has different claims, however
+many rows it has. A round is one shuffle by group for all fields.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skyloom.operators.dedup import pieces
-from skyloom.session import Scratch
+from skyloom.operators.joins import lookup
+from skyloom.session import Scratch, seen
 
 
 @dataclass
@@ -29,65 +31,68 @@ class Field:
     trust: Column
 
 
-def discover_truth(claims: DataFrame, value: str, trust: str, tolerance: float = 1e-3, most_rounds: int = 20) -> tuple[DataFrame, DataFrame]:
-    """The claims whose ``value`` is the one supported best in their group, and the reliabilities (source, weight).
+def discover_truth(claims: DataFrame, fields: Sequence[tuple[str, str]], tolerance: float = 1e-3) -> tuple[DataFrame, DataFrame, int]:
+    """The claims that carry the best-supported value of every field in their group, the reliabilities (source, weight), and the rounds taken.
 
-    ``claims`` has group, source and n (how often) and the two columns named. Sources start equally reliable; a source's weight is
-    (agreeing claims + 1) / (claims + 2). Equal support goes to the larger value. A claim without source is of a source of its own.
-
-    Votes decide within one degree of trust only. So groups with one value at their highest degree are settled once, and what they
-    say of the sources is the same in every round; the rounds go over the other groups.
+    ``claims`` has group, source and n (how often), and for each field the columns of value and trust named. Sources start equally
+    reliable; a source's weight is (agreeing claims + 1) / (claims + 2). Equal support goes to the larger value. A claim without source
+    is of a source of its own. From the tenth round on each step is half the one before, so that weights that would swing settle too.
     """
     scratch = Scratch(claims.sparkSession, "truth")
-    group, same = W.partitionBy("group"), W.partitionBy("group", value)
-    columns = claims.columns
-    # One shuffle by group, over its different claims.
-    ranked = claims.withColumn("source", F.coalesce("source", F.lit(""))).repartition("group").withColumn("_trust", F.max(trust).over(group))
-    top = F.col(trust).eqNullSafe(F.col("_trust"))
-    at_top = F.when(top, F.struct(value))
-    ranked = ranked.withColumn("_settled", F.min(at_top).over(group) == F.max(at_top).over(group)).withColumn("_top", top)
-    ranked = scratch.keep(ranked.drop("_trust"))
-
-    def counts(judged: DataFrame, agrees: Column) -> DataFrame:
-        return judged.groupBy("source").agg(F.sum(F.when(agrees, F.col("n")).otherwise(0)).alias("agree"), F.sum("n").alias("claims"))
-
-    base = scratch.keep(counts(ranked.where("_settled"), F.col("_top")))
-    unsettled = ranked.where("not _settled")
-    best = ranked.where("_settled and _top").select(*columns)
-    weight = (F.sum("agree") + 1.0) / (F.sum("claims") + 2.0)
-    if unsettled.isEmpty():
-        return best, base.groupBy("source").agg(weight.alias("weight"))
-    weights = ranked.select("source").distinct().withColumn("weight", F.lit(0.5))
-    for _ in range(most_rounds):
-        voted = unsettled.join(weights, "source").repartition("group")
-        voted = voted.withColumn("_votes", F.sum(F.col("n") * F.col("weight")).over(same))
-        voted = voted.withColumn("_best", F.max(F.struct(trust, "_votes", value)).over(group))
-        agrees = F.col(value).eqNullSafe(F.col(f"_best.{value}"))
-        new = scratch.keep(counts(voted, agrees).unionAll(base).groupBy("source").agg(weight.alias("weight")))
-        moved = new.join(weights.withColumnRenamed("weight", "old"), "source").agg(F.max(F.abs(F.col("weight") - F.col("old")))).first()[0]
-        won, weights = voted.where(agrees).select(*columns), new
+    group = W.partitionBy("group")
+    claims = claims.withColumn("source", F.coalesce("source", F.lit("")))
+    weights, rounds = None, 0
+    while True:
+        rounds += 1
+        voted = claims.withColumn("weight", F.lit(0.5)) if weights is None else claims.join(weights, "source")
+        # One order serves all windows: candidates for a field have the values decided before in common.
+        values = [v for v, _ in fields]
+        voted = voted.repartition("group").sortWithinPartitions("group", *values)
+        voted = voted.withColumns({"_alive": F.lit(True), "_judged": F.lit(0), "_agreed": F.lit(0)})
+        for k, (value, trust) in enumerate(fields):
+            voted = voted.withColumn("_votes", F.sum(F.when(F.col("_alive"), F.col("n") * F.col("weight"))).over(W.partitionBy("group", *values[: k + 1])))
+            voted = voted.withColumn("_best", F.max(F.when(F.col("_alive"), F.struct(trust, "_votes", value))).over(group))
+            agrees = F.col("_alive") & F.col(value).eqNullSafe(F.col(f"_best.{value}"))
+            voted = voted.withColumn("_judged", F.col("_judged") + F.col("_alive").cast("int")).withColumn("_alive", agrees)
+            voted = voted.withColumn("_agreed", F.col("_agreed") + agrees.cast("int")).drop("_votes", "_best")
+        judged = scratch.keep(voted.drop("weight"))
+        new = judged.groupBy("source").agg(((F.sum(F.col("n") * F.col("_agreed")) + 1.0) / (F.sum(F.col("n") * F.col("_judged")) + 2.0)).alias("weight"))
+        if weights is None:
+            weights, moved = scratch.keep(new), 1.0
+        else:
+            step = 0.5 ** max(0, rounds - 9)
+            both = new.join(weights.withColumnRenamed("weight", "old"), "source").select("source", (F.col("old") + step * (F.col("weight") - F.col("old"))).alias("weight"), "old")
+            both = scratch.keep(both, moved=F.max(F.abs(F.col("weight") - F.col("old"))))
+            moved = seen(both, "moved")
+            weights = both.select("source", "weight")
         if moved is None or moved < tolerance:
-            break
-    return best.unionAll(scratch.keep(won)), weights
+            return judged.where("_alive").drop("_alive", "_judged", "_agreed"), weights, rounds
+        scratch.drop(judged)
+
+
+def count_claims(members: DataFrame, fields: Sequence[Field]) -> DataFrame:
+    """(group, source, v0, t0, v1, t1, ..., n) from rows that are distinct."""
+    named = [c for i, f in enumerate(fields) for c in (f.value.alias(f"v{i}"), f.trust.alias(f"t{i}"))]
+    rows = members.select("group", "source", *named)
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
-def survivors(members: DataFrame, fields: Sequence[Field], x: Column, gap: float) -> DataFrame:
+def survivors(members: DataFrame, fields: Sequence[Field], x: Column, gap: float, hot: Sequence[int] = (), repeated: bool = True) -> DataFrame:
     """(group, id, tie_result) of the surviving rows of each group; ``tie_result`` is 1 for a single survivor, else 2.
 
-    ``members`` has group, id and source and the columns that the fields use. Repeated rows count once. After the fields, several
-    candidates are thinned by ``pieces``. A group whose rows have no value in any field keeps all its candidates up to that step.
+    ``members`` has group, id and source and the columns that the fields use. Repeated rows count once; ``repeated`` says whether there may be some. After the fields, several
+    candidates are thinned by ``pieces``. ``hot``: groups with so many rows that they aren't shuffled by group (see ``hot_keys``). A group whose rows have no value in any field keeps all its candidates up to that step.
     """
     scratch = Scratch(members.sparkSession, "survivors")
-    names = [f"v{i}" for i in range(len(fields))]
-    rows = members.select("group", "id", "source", x.alias("x"), *[f.value.alias(n) for f, n in zip(fields, names)], *[f.trust.alias(f"t{n}") for f, n in zip(fields, names)])
-    rows = scratch.keep(rows.distinct())
-    claims = scratch.keep(rows.groupBy("group", "source", *names, *[f"t{n}" for n in names]).agg(F.count(F.lit(1)).alias("n")))
-    for n in names:
-        claims, _ = discover_truth(claims, n, f"t{n}")
-    best = claims.select("group", *[F.col(n).alias(f"b{n}") for n in names]).distinct()
-    held = rows.join(best, "group")
-    for n in names:
-        held = held.where(F.col(n).eqNullSafe(F.col(f"b{n}")))
+    names = [(f"v{i}", f"t{i}") for i in range(len(fields))]
+    rows = members.select("group", "id", "source", x.alias("x"), *[c.alias(n) for f, (v, t) in zip(fields, names) for c, n in ((f.value, v), (f.trust, t))])
+    rows = scratch.keep(rows.distinct() if repeated else rows)
+    claims = scratch.keep(count_claims(rows, [Field(f.name, F.col(v), F.col(t)) for f, (v, t) in zip(fields, names)]))
+    won, _, _ = discover_truth(claims, names)
+    best = won.select("group", *[F.col(v).alias(f"b{v}") for v, _ in names]).distinct()
+    held = lookup(rows, best, "group", list(hot))
+    for v, _ in names:
+        held = held.where(F.col(v).eqNullSafe(F.col(f"b{v}")))
     left = scratch.keep(pieces(scratch.keep(held.select("group", "id", "x")), gap).distinct())
     counts = left.groupBy("group").agg(F.count(F.lit(1)).alias("k"))
-    return left.join(counts, "group").select("group", "id", F.when(F.col("k") == 1, 1).otherwise(2).alias("tie_result"))
+    return lookup(left, counts, "group", list(hot)).select("group", "id", F.when(F.col("k") == 1, 1).otherwise(2).alias("tie_result"))
