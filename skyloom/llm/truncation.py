@@ -1,10 +1,10 @@
 """Texts cut off by field limits or broken transfers, by a backward character n-gram model.
 
 For the last characters of a text the model compares how often texts or lines end after them with how often they go on; a text is cut
-off where the log-odds of an end fall below a threshold, fitted for each language by one rule at every size. The model is trained on every character of all
-texts: contexts are hashed into ``1 << BITS`` buckets for each order, counted in the tasks and summed by Spark, so its size is bounded
-whatever the corpus. Marks and closing lines behind a break are taken off first; what counts as a closing line is learned from how
-often its form is the last line of a text.
+off where the log-odds of an end fall below a threshold, fitted for each language by one rule at every size. The model is trained on
+every character of all texts; contexts are kept apart by their 64-bit hashes, counted in the tasks and summed by Spark. Marks and
+closing lines behind a break are taken off first; what counts as a closing line is learned from how often its form is the last line
+of a text.
 """
 
 from __future__ import annotations
@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 
 from skyloom.functions.text import strip
 from skyloom.llm.chars import blocks, code_points, gram_hashes, gram_sums
-from skyloom.session import Scratch
+from skyloom.operators.joins import hot_keys, lookup
+from skyloom.session import Scratch, seen
 
 #: Context lengths, the shortest first; each is the prior of the next with the weight PRIOR.
 ORDERS = (2, 4, 6)
 PRIOR = 10.0
-#: Buckets of an order as a power of 2.
-BITS = 20
+#: Contexts of an order that a task counts in place (a power of 2); the others are counted by sorting, and sent on when there are so many.
+SLOTS = 1 << 20
+SENT_ON = 1 << 20
 #: A closing line is at most this long, and its form is last in at least this share of all texts.
 CLOSER_CHARS = 40
 CLOSER_SHARE = 0.002
@@ -64,7 +66,9 @@ class Trimmer:
             t = t[:at].rstrip()
         if t[-1:] == "." and t[-2:] != "..":
             return t
-        tail = _MARKS.search(t, max(0, len(t) - 24))
+        width = 24
+        while (tail := _MARKS.search(t, max(0, len(t) - width))) and tail.start() == len(t) - width:
+            width *= 2
         return t[: tail.start()] if tail else t
 
 
@@ -90,59 +94,105 @@ def _contexts(codes: np.ndarray) -> np.ndarray:
     return c
 
 
+class Counts:
+    """How often each context of one order occurs, and how often before an end. Contexts are apart by their whole hash.
+
+    The first context to come to a slot owns it; contexts whose slot is taken are counted by sorting.
+    """
+
+    def __init__(self):
+        self.owner = np.zeros(SLOTS, np.uint64)
+        self.n, self.ends = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
+        self.others, self.waiting = [], 0
+
+    def add(self, h: np.ndarray, ends: np.ndarray) -> None:
+        """``h``: the hashes of contexts in a row; ``ends``: places in it of contexts before an end."""
+        slot = (h & np.uint64(SLOTS - 1)).astype(np.int64)
+        free = self.owner[slot] == 0
+        self.owner[slot[free]] = h[free]
+        own = self.owner[slot] == h
+        self.n += np.bincount(slot[own], minlength=SLOTS)
+        at_end = own[ends]
+        self.ends += np.bincount(slot[ends[at_end]], minlength=SLOTS)
+        if not own.all():
+            u, n = np.unique(h[~own], return_counts=True)
+            e = np.bincount(np.searchsorted(u, h[ends[~at_end]]), minlength=len(u))
+            self.others.append((u, n, e))
+            self.waiting += len(u)
+
+    def rest(self):
+        """(hashes, n, ends) of the contexts without a slot, which are forgotten here."""
+        h, n, e = (np.concatenate(x) for x in zip(*self.others)) if self.others else (np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 2)
+        u, at = np.unique(h, return_inverse=True)
+        self.others, self.waiting = [], 0
+        return u, np.bincount(at, n, len(u)).astype(np.int64), np.bincount(at, e, len(u)).astype(np.int64)
+
+    def slots(self):
+        at = np.flatnonzero(self.owner)
+        return self.owner[at], self.n[at], self.ends[at]
+
+
 def _train(forms: list[str]):
-    mask = (1 << BITS) - 1
+    names = ["doc", "size", *(f"f{q}" for q in ORDERS), "order", "context", "n", "ends"]
+
+    def counted(q: int, h: np.ndarray, n: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+        none = [pa.nulls(len(h), t) for t in (pa.int64(), pa.int32(), *[pa.int64()] * len(ORDERS))]
+        return pa.RecordBatch.from_arrays([*none, pa.array(np.full(len(h), q, np.int32)), pa.array(h.view(np.int64)), pa.array(n), pa.array(ends)], names=names)
 
     def run(batches):
         trim = Trimmer(forms)
-        total = np.zeros((len(ORDERS), 1 << BITS), np.int64)
-        ends = np.zeros((len(ORDERS), 1 << BITS), np.int64)
+        counts = [Counts() for _ in ORDERS]
         for b, texts in blocks(batches):
             codes = code_points([trim(t) for t in texts])
             c = _contexts(codes)
             sums = gram_sums(c)
             border = np.flatnonzero(c == 0)
             stop = np.flatnonzero((c == 10) | (c == 0))
-            finals = np.full((len(texts), len(ORDERS)), -1, np.int64)
-            for k, q in enumerate(ORDERS):
-                h = (gram_hashes(sums, q) & np.uint64(mask)).astype(np.int64)
-                total[k] += np.bincount(h, minlength=1 << BITS)
-                e = stop[stop >= q] - q  # the context before a line end or the end of a text
-                ends[k] += np.bincount(h[e], minlength=1 << BITS)
+            finals = []
+            for q, count in zip(ORDERS, counts):
+                h = gram_hashes(sums, q)
+                h[h == 0] = 1  # 0 marks a free slot
+                count.add(h, stop[stop >= q] - q)  # the context before a line end or the end of a text
                 at = border[1:] - q
                 ok = at > border[:-1]
-                finals[ok, k] = h[at[ok]]
+                final = h[at[ok]].view(np.int64)
+                whole = np.zeros(len(texts), np.int64)
+                whole[ok] = final
+                finals.append(pa.array(whole, mask=~ok))
+                if count.waiting > SENT_ON:
+                    yield counted(q, *count.rest())
             size = np.diff(border) - 1
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc"), pa.array(size.astype(np.int32)), *(pa.array(finals[:, k].astype(np.int32)) for k in range(len(ORDERS))), *(pa.nulls(len(b), t) for t in (pa.int32(), pa.int32(), pa.int64(), pa.int64()))],
-                names=["doc", "size", *(f"f{q}" for q in ORDERS), "order", "bucket", "n", "ends"],
-            )
-        for k, q in enumerate(ORDERS):
-            at = np.flatnonzero(total[k])
-            none = [pa.nulls(len(at), t) for t in (pa.int64(), *[pa.int32()] * (1 + len(ORDERS)))]
-            yield pa.RecordBatch.from_arrays(
-                [*none, pa.array(np.full(len(at), q, np.int32)), pa.array(at.astype(np.int32)), pa.array(total[k][at]), pa.array(ends[k][at])],
-                names=["doc", "size", *(f"f{q}" for q in ORDERS), "order", "bucket", "n", "ends"],
-            )
+            none = (pa.nulls(len(b), t) for t in (pa.int32(), pa.int64(), pa.int64(), pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(size.astype(np.int32)), *finals, *none], names=names)
+        for q, count in zip(ORDERS, counts):
+            yield counted(q, *count.slots())
+            yield counted(q, *count.rest())
 
     return run
 
 
 def end_log_odds(df: DataFrame, doc: str, text: str, scratch: Scratch) -> DataFrame:
-    """(doc, log_odds) of an end after the last characters of each non-empty text, its own end left out of the counts."""
+    """(doc, log_odds) of an end after the last characters of each non-empty text, its own end left out of the counts.
+
+    Texts that end alike are scored once, and endings that many texts share are looked up where the texts are.
+    """
     rows = df.select(F.col(doc).alias("doc"), F.col(text).alias("text")).where(F.col("text").rlike(r"\S"))
     forms = closing_forms(F.col("text"), rows)
-    columns = ", ".join(f"f{q} int" for q in ORDERS)
-    trained = scratch.keep(rows.mapInArrow(_train(forms), f"doc long, size int, {columns}, `order` int, bucket int, n long, ends long"))
-    model = scratch.keep(trained.where("bucket is not null").groupBy("order", "bucket").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends")))
-    out = trained.where("size is not null").select("doc", "size", *[f"f{q}" for q in ORDERS])
-    p = F.lit(0.02)
+    finals = [f"f{q}" for q in ORDERS]
+    columns = ", ".join(f"{f} long" for f in finals)
+    trained = scratch.keep(rows.mapInArrow(_train(forms), f"doc long, size int, {columns}, `order` int, context long, n long, ends long"), texts=F.count("size"))
+    model = scratch.keep(trained.where("context is not null").groupBy("order", "context").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends")))
+    texts = seen(trained, "texts")
+    docs = trained.where("size is not null").select("doc", *finals, F.concat_ws("/", *[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in finals]).alias("tail"))
+    tails = scratch.keep(docs.select("tail", *finals).distinct())
+    out, p = tails, F.lit(0.02)
     for q in ORDERS:
-        counts = model.where(F.col("order") == q).select(F.col("bucket").alias(f"f{q}"), F.col("n").alias(f"n{q}"), F.col("ends").alias(f"e{q}"))
-        out = out.join(counts, f"f{q}", "left")
+        counts = model.where(F.col("order") == q).select(F.col("context").alias(f"f{q}"), F.col("n").alias(f"n{q}"), F.col("ends").alias(f"e{q}"))
+        out = lookup(out, counts, f"f{q}", hot_keys(tails, f"f{q}", seen(tails)), "left")
         n, e = F.greatest(F.coalesce(f"n{q}", F.lit(1)) - 1, F.lit(0)), F.greatest(F.coalesce(f"e{q}", F.lit(1)) - 1, F.lit(0))
         p = (e + PRIOR * p) / (n + PRIOR)
-    return out.select("doc", F.log((p + 1e-6) / (1 - p + 1e-6)).alias("log_odds"))
+    scores = out.select("tail", F.log((p + 1e-6) / (1 - p + 1e-6)).alias("log_odds"))
+    return lookup(docs.select("doc", "tail"), scores, "tail", hot_keys(docs, "tail", texts)).select("doc", "log_odds")
 
 
 def language(code: Column) -> Column:
@@ -154,23 +204,27 @@ def language(code: Column) -> Column:
 def _thresholds(scored: DataFrame) -> dict[str, float]:
     """The emptiest place between ends and breaks for each language, its histogram shrunk towards that of all texts.
 
-    No count switches the method: the more texts a language has, the less the whole table counts.
+    No count switches the method: the more texts a language has, the less the whole table counts. A language in which nothing rises
+    again below its emptiest place has no breaks, and no threshold.
     """
     rows = scored.groupBy("language", F.floor(F.col("log_odds") / STEP).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()
     lo, hi = (round(x / STEP) for x in SPAN)
     total = sum(r["n"] for r in rows)
-    whole, each = np.zeros(hi - lo), {r["language"]: np.zeros(hi - lo) for r in rows}
+    # The first place counts everything below the span.
+    whole, each = np.zeros(hi - lo + 1), {r["language"]: np.zeros(hi - lo + 1) for r in rows}
     for r in rows:
-        if lo <= r["bin"] < hi:
-            whole[r["bin"] - lo] += r["n"]
-            each[r["language"]][r["bin"] - lo] += r["n"]
+        if r["bin"] < hi:
+            whole[max(r["bin"] - lo, -1) + 1] += r["n"]
+            each[r["language"]][max(r["bin"] - lo, -1) + 1] += r["n"]
 
-    def valley(n: np.ndarray) -> float:
-        smooth = np.convolve(n, [0.25, 0.5, 1, 0.5, 0.25], "same")[2:-2]
+    def valley(n: np.ndarray) -> float | None:
+        smooth = np.convolve(n[1:], [0.25, 0.5, 1, 0.5, 0.25], "same")[2:-2]
         best = np.flatnonzero(smooth == smooth.min())
-        return float((best[len(best) // 2] + 2.5 + lo) * STEP)
+        at = best[len(best) // 2]
+        return float((at + 2.5 + lo) * STEP) if max(n[: at + 3].max(), smooth[: at + 1].max()) > smooth[at] else None
 
-    return {name: valley(n + PRIOR_TEXTS / total * whole) for name, n in sorted(each.items())}
+    found = {name: valley(n + PRIOR_TEXTS / total * whole) for name, n in sorted(each.items())}
+    return {name: at for name, at in found.items() if at is not None}
 
 
 def find_truncated(df: DataFrame, doc: str, text: str, lang: str) -> DataFrame:
