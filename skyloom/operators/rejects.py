@@ -1,7 +1,8 @@
 """Rows that fail to parse: the loadable records of text files, and apart from them the rejected ones with the reason.
 
 Records are parsed in blocks on Arrow's columnar CSV reader. A block it refuses (or that breaks a rule which that reader doesn't
-know) is halved again and again until the records at fault stand alone; only these are diagnosed character by character. Blocks
+know) is parted again and again until the records at fault stand alone; only these are diagnosed character by character. Where the
+block's columnar tests accuse some of its records, these are parted from the rest first; otherwise a block is halved. Blocks
 hold records of any files that share delimiter, width and position of the checked column, so small files make no small blocks and
 a file with a third of all lines is spread over many tasks.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,6 +31,8 @@ _NUMBER = re.compile(NUMBER)
 
 #: Records parsed at once.
 BLOCK = 4096
+#: Records a task should have: their cost is Python's time, not their bytes, by which Spark would size tasks.
+RECORDS_PER_TASK = 20_000
 
 
 def loadable_format(fmt: Column, name: Column) -> Column:
@@ -86,72 +90,105 @@ def diagnose(line: str, delimiter: str, width: int, at: int) -> tuple[str | None
     return None, fields
 
 
-def _bulk(lines: pa.Array, delimiter: str, width: int, at: int) -> list[pa.Array] | None:
-    """The columns of a block in which every record loads, else None."""
+def _bulk(lines: pa.Array, delimiter: str, width: int, at: int) -> tuple[list[pa.Array] | None, np.ndarray | None]:
+    """The columns of a block in which every record loads; else None and, as far as the columnar tests can tell, the records at fault."""
     d = re.escape(delimiter).replace("\\\t", "\t")
     quoted = pc.match_substring(lines, '"')
-    if pc.any(quoted).as_py():
-        field = rf'(?:"(?:[^"]|"")*"|[^"{d}][^{d}]*|)'
-        if not pc.all(pc.match_substring_regex(lines.filter(quoted), rf"\A(?s:{field}(?:{d}{field})*)\z")).as_py():
-            return None
-    if pc.any(pc.match_substring_regex(lines.filter(pc.invert(quoted)), r"[\r\n]")).as_py():
-        return None
-    names = [str(i) for i in range(width)]
+    field = rf'(?:"(?:[^"]|"")*"|[^"{d}][^{d}]*|)'
+    whole = pc.match_substring_regex(lines, rf"\A(?s:{field}(?:{d}{field})*)\z") if pc.any(quoted).as_py() else quoted
+    broken = pc.if_else(quoted, pc.invert(whole), pc.match_substring_regex(lines, r"[\r\n]")).to_numpy(zero_copy_only=False)
+    if broken.any():
+        return None, broken
+    names, wrong = [str(i) for i in range(width)], []
+
+    def note(row: csv.InvalidRow) -> str:
+        wrong.append(row.number - 1)
+        return "skip"
+
     try:
         t = csv.read_csv(
             pa.py_buffer(("\n".join(lines.to_pylist()) + "\n").encode()),
             csv.ReadOptions(column_names=names, block_size=1 << 27, use_threads=False),
-            csv.ParseOptions(delimiter=delimiter, newlines_in_values=True, ignore_empty_lines=False),
+            csv.ParseOptions(delimiter=delimiter, newlines_in_values=True, ignore_empty_lines=False, invalid_row_handler=note),
             csv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), strings_can_be_null=False),
         )
     except pa.ArrowInvalid:
-        return None
-    if t.num_rows != len(lines):
-        return None
+        return None, None
+    if t.num_rows + len(wrong) != len(lines):
+        return None, None
+    if wrong:
+        broken[wrong] = True
+        return None, broken
     columns = [c.combine_chunks() for c in t.columns]
     if at >= 0:
         z = pc.utf8_trim_whitespace(columns[at])
-        bad = pc.invert(pc.or_(pc.is_in(pc.utf8_lower(z), pa.array(NA_TOKENS)), pc.match_substring_regex(z, NUMBER)))
-        if pc.any(bad).as_py():
-            return None
-        numbers = pc.cast(z.filter(pc.match_substring_regex(z, NUMBER)).cast(pa.string()), pa.float64(), safe=False)
-        if not pc.all(pc.is_finite(numbers)).as_py():
-            return None
-    return columns
-
-
-def _load(batches):
-    def rows(part: pd.DataFrame, delimiter: str, width: int, at: int):
-        """(position, reason, fields) of each record, halving what doesn't load at once."""
-        todo = [(s, min(s + BLOCK, len(part))) for s in range(0, len(part), BLOCK)]
-        lines = pa.array(part["line"], pa.string())
-        while todo:
-            s, e = todo.pop()
-            if e - s == 1:
-                yield s, *diagnose(lines[s].as_py(), delimiter, width, at)
-            elif (columns := _bulk(lines.slice(s, e - s), delimiter, width, at)) is not None:
-                yield from ((s + i, None, list(f)) for i, f in enumerate(zip(*(c.to_pylist() for c in columns))))
-            else:
-                todo += [(s, (s + e) // 2), ((s + e) // 2, e)]
-
-    for pdf in batches:
-        known = pdf[pdf["ok"]]
-        wrong = pdf[~pdf["ok"]]
-        if len(wrong):
-            yield wrong[["file_id", "line_no"]].assign(reason="format", fields=None)
-        for (delimiter, width, at), part in known.groupby(["delimiter", "width", "at"]):
-            got = list(rows(part, delimiter, int(width), int(at)))
-            p = part.iloc[[g[0] for g in got]]
-            yield pd.DataFrame({"file_id": p["file_id"].values, "line_no": p["line_no"].values, "reason": [g[1] for g in got], "fields": [g[2] for g in got]})
+        numeric = pc.match_substring_regex(z, NUMBER)
+        finite = pc.is_finite(pc.cast(pc.if_else(numeric, z, "0"), pa.float64(), safe=False))
+        good = pc.or_(pc.is_in(pc.utf8_lower(z), pa.array(NA_TOKENS)), pc.and_(numeric, finite))
+        if not pc.all(good).as_py():
+            return None, pc.invert(good).to_numpy(zero_copy_only=False)
+    return columns, None
+
+
+def _rows_of(columns: list[pa.Array]) -> pa.ListArray:
+    n, width = len(columns[0]), len(columns)
+    cells = pa.concat_arrays(columns).take(pa.array(np.arange(n * width).reshape(width, n).T.ravel()))
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width), pa.int32()), cells)
+
+
+def parse_block(lines: pa.Array, delimiter: str, width: int, at: int):
+    """(positions, reasons, fields) of the records in runs; reasons is None for a run that loads."""
+    todo = [np.arange(s, min(s + BLOCK, len(lines))) for s in range(0, len(lines), BLOCK)]
+    while todo:
+        k = todo.pop()
+        if len(k) == 1:
+            reason, fields = diagnose(lines[k[0]].as_py(), delimiter, width, at)
+            yield k, [reason], pa.array([fields], pa.list_(pa.string()))
+            continue
+        columns, accused = _bulk(lines.take(pa.array(k)), delimiter, width, at)
+        if columns is not None:
+            yield k, None, _rows_of(columns)
+        elif accused is not None and not accused.all():
+            todo += [k[accused], k[~accused]]
+        else:
+            todo += [k[: len(k) // 2], k[len(k) // 2 :]]
+
+
+def _load(every: bool):
+    """Parses batches of records; with ``every`` the records that load come out too, with their fields."""
+    names = ["file_id", "line_no", "reason", "fields"]
+
+    def run(batches):
+        for b in batches:
+            where = b.select(["file_id", "line_no"])
+            ok = b.column("ok").to_numpy(zero_copy_only=False)
+            wrong = np.flatnonzero(~ok)
+            if len(wrong):
+                w = where.take(pa.array(wrong))
+                yield pa.RecordBatch.from_arrays([*w.columns, pa.array(["format"] * len(w), pa.string()), pa.nulls(len(w), pa.list_(pa.string()))], names=names)
+            kind = pc.binary_join_element_wise(b.column("delimiter"), b.column("width").cast(pa.string()), b.column("at").cast(pa.string()), " ").dictionary_encode()
+            codes = kind.indices.to_numpy()
+            for code in np.unique(codes[ok]):
+                at = np.flatnonzero(ok & (codes == code))
+                first = at[0]
+                lines = b.column("line").take(pa.array(at))
+                for k, reasons, fields in parse_block(lines, b.column("delimiter")[first].as_py(), b.column("width")[first].as_py(), b.column("at")[first].as_py()):
+                    if every or reasons and reasons[0]:
+                        w = where.take(pa.array(at[k]))
+                        yield pa.RecordBatch.from_arrays([*w.columns, pa.array(reasons or [None] * len(k), pa.string()), fields], names=names)
+
+    return run
 
 
 def _header_fields(header: pd.Series, delimiter: pd.Series) -> pd.Series:
     return pd.Series([split_record(h, d) or h.replace('"', "").split(d) for h, d in zip(header, delimiter)])
 
 
-def load_records(lines: DataFrame, files: DataFrame, columns: DataFrame) -> DataFrame:
+def load_records(lines: DataFrame, files: DataFrame, columns: DataFrame, every: bool = True) -> DataFrame:
     """(file_id, line_no, reason, fields, header) of every record of ``lines``; ``reason`` is null where the record loads.
 
+    Without ``every`` only the rejected ones come out.
+
     The first line of a file that is neither blank nor a comment is its header; its commonest of comma, semicolon, tab and bar
     outside quotes is the delimiter (ties by that order; none: one column). Null lines count as blank. A file missing from
     ``files`` has no loadable format; a file without header has no records; a source without ``z_column``, or whose header doesn't
@@ -163,7 +200,7 @@ def load_records(lines: DataFrame, files: DataFrame, columns: DataFrame) -> Data
     bare = F.regexp_replace("header", r'"[^"]*+(?:""[^"]*+)*+"', "")
     counts = F.array(*[F.struct((F.length(bare) - F.length(F.replace(bare, F.lit(c)))).alias("n"), F.lit(-i).alias("i"), F.lit(c).alias("c")) for i, c in enumerate(DELIMITERS)])
     info = header.join(files.select("file_id", "source", "format", "file_name").dropDuplicates(["file_id"]), "file_id", "left").join(
-        F.broadcast(columns.select("source", "z_column")), "source", "left"  # one row for each catalog
+        columns.select("source", "z_column"), "source", "left"
     )
     info = info.withColumn("delimiter", F.array_max(counts)["c"])
     info = info.withColumn("names", F.transform(F.pandas_udf(_header_fields, "array<string>")("header", "delimiter"), lambda v: strip(F.regexp_replace(v, INVISIBLE, ""))))
@@ -174,7 +211,8 @@ def load_records(lines: DataFrame, files: DataFrame, columns: DataFrame) -> Data
         loadable_format(F.col("format"), F.col("file_name")).alias("ok"),
     )
     records = text.join(info, "file_id").where(F.col("line_no") > F.col("header_no"))
-    parsed = records.select("file_id", "line_no", "line", "delimiter", "width", "at", "ok").mapInPandas(
-        _load, "file_id long, line_no int, reason string, fields array<string>"
-    )
+    sc = lines.sparkSession.sparkContext
+    tasks = max(sc.defaultParallelism, -(-lines.count() // RECORDS_PER_TASK))
+    dealt = records.select("file_id", "line_no", "line", "delimiter", "width", "at", "ok").repartition(tasks, "file_id", "line_no")
+    parsed = dealt.mapInArrow(_load(every), "file_id long, line_no int, reason string, fields array<string>")
     return parsed.join(info.select("file_id", "header"), "file_id", "left")

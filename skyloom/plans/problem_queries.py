@@ -62,19 +62,19 @@ WHERE a.CRD_ID < b.CRD_ID
   AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z) <= pow(2 * sin(radians(0.25 / 3600)), 2)"""
 
 
-def _records(spark: SparkSession, d: str) -> DataFrame:
-    return load_records(table(spark, d, "raw_lines"), table(spark, d, "catalog_files"), table(spark, d, "catalog_columns"))
+def _records(spark: SparkSession, d: str, every: bool) -> DataFrame:
+    return load_records(table(spark, d, "raw_lines"), table(spark, d, "catalog_files"), table(spark, d, "catalog_columns"), every)
 
 
 @query
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return _records(spark, d).where("reason is not null").select("file_id", "line_no", "reason").distinct()
+    return _records(spark, d, False).where("reason is not null").select("file_id", "line_no", "reason").distinct()
 
 
 @query
 def p3_loaded(spark: SparkSession, d: str) -> DataFrame:
     """The loadable records as (file_id, line_no, column, value), missing-value tokens as null."""
-    rows = _records(spark, d).where("reason is null")
+    rows = _records(spark, d, True).where("reason is null")
     cells = rows.select("file_id", "line_no", F.explode(F.arrays_zip("header", "fields")).alias("c"))
     return cells.select("file_id", "line_no", F.col("c.header").alias("column"), na_to_null(F.col("c.fields")).alias("value"))
 

@@ -1,13 +1,16 @@
 import json
+import math
+import re
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from skyloom.operators.drift import Drift, canonical, path_values
-from skyloom.operators.rejects import _bulk, diagnose, load_records, split_record
-from skyloom.plans.problem_queries import p3_found, p3_loaded
+from skyloom.operators.rejects import diagnose, load_records, parse_block, split_record
+from skyloom.plans.problem_queries import p2_found, p3_found, p3_loaded
 
 
 def drift(spark, payloads, releases=((1, 1), (2, 2), (3, 3))):
@@ -132,12 +135,127 @@ def test_record_round_trip(values):
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(st.sampled_from('ab,"1. '), max_size=8).filter(str.strip), min_size=1, max_size=5))
-def test_fast_path_never_takes_what_the_strict_one_rejects(lines):
-    columns = _bulk(pa.array(lines), ",", 2, 1)
-    strict = [diagnose(x, ",", 2, 1) for x in lines]
-    if columns is not None:
-        assert all(reason is None for reason, _ in strict)
-        assert [list(f) for f in zip(*(c.to_pylist() for c in columns))] == [f for _, f in strict]
+def test_blocks_give_what_the_strict_path_gives(lines):
+    got = {}
+    for k, reasons, fields in parse_block(pa.array(lines), ",", 2, 1):
+        got |= {i: (reasons and reasons[0], f) for i, f in zip(k.tolist(), fields.to_pylist())}
+    assert got == dict(enumerate(diagnose(x, ",", 2, 1) for x in lines))
+
+
+def plain_reasons(data):
+    """The rejected records of the whole tables, character by character."""
+    files, columns, lines = (pq.read_table(f"{data}/{t}.parquet").to_pylist() for t in ("catalog_files", "catalog_columns", "raw_lines"))
+    zs = {c["source"]: c["z_column"] for c in columns}
+    missing, by_file, out = ("", "na", "nan", "null", "none", "<na>"), {}, set()
+    for r in lines:
+        by_file.setdefault(r["file_id"], []).append((r["line_no"], r["line"]))
+
+    def fields(text, sign):
+        got, cell, state = [], "", "start"
+        for ch in text:
+            if state == "start" and ch == '"':
+                state = "in"
+            elif state == "in":
+                state, cell = ("quote", cell) if ch == '"' else ("in", cell + ch)
+            elif state == "quote" and ch == '"':
+                state, cell = "in", cell + ch
+            elif ch == sign:
+                got, cell, state = [*got, cell], "", "start"
+            elif state == "quote":
+                return None
+            else:
+                state, cell = "bare", cell + ch
+        return None if state == "in" else [*got, cell]
+
+    for f in files:
+        header = None
+        ending = r"(csv|tsv|txt)(\.(gz|bz2|xz|zst))?"
+        fmt = (f["format"] or "").strip().lower()
+        ok = re.fullmatch(r"\.?" + ending, fmt) if f["format"] is not None else re.search(r"\." + ending + "$", (f["file_name"] or "").strip().lower())
+        for n, line in sorted(by_file.get(f["file_id"], [])):
+            line = re.sub(r"[\r\n]+$", "", (line or "").lstrip("\ufeff"))
+            if not line.strip() or line.lstrip(" ").startswith("#"):
+                continue
+            if header is None:
+                bare = re.sub(r'"[^"]*(?:""[^"]*)*"', "", line)
+                sign = max(",;\t|", key=bare.count)
+                header = [h.strip() for h in fields(line, sign)]
+                continue
+            cells = fields(line, sign)
+            z = header.index(zs[f["source"]]) if zs.get(f["source"]) in header else None
+            if not ok:
+                out.add((f["file_id"], n, "format"))
+            elif cells is None:
+                out.add((f["file_id"], n, "quoting"))
+            elif len(cells) != len(header):
+                out.add((f["file_id"], n, "column_count"))
+            elif z is not None and cells[z].strip().lower() not in missing:
+                v = cells[z].strip()
+                if not re.fullmatch(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?", v) or math.isinf(float(v)):
+                    out.add((f["file_id"], n, "z_value"))
+    return out
+
+
+def test_rejects_against_brute_force(spark, data):
+    assert {tuple(r) for r in p3_found(spark, data).collect()} == plain_reasons(data)
+
+
+def plain_changes(data):
+    """Every change between the files of the whole tables, file by file."""
+    files, columns, rows = (pq.read_table(f"{data}/{t}.parquet").to_pylist() for t in ("catalog_files", "catalog_columns", "release_rows"))
+    places = {c["source"]: (c["ra_column"], c["dec_column"]) for c in columns}
+    missing, payloads, out = ("", "na", "nan", "null", "none", "<na>"), {}, set()
+    for r in rows:
+        payloads.setdefault(r["file_id"], []).append(json.loads(r["payload"]))
+
+    def gone(v):
+        return v is None or isinstance(v, str) and v.strip().lower() in missing
+
+    def plain(v):
+        if isinstance(v, bool):
+            return str(v).lower()
+        try:
+            return float(v)
+        except ValueError:
+            return {"true": "true", "false": "false"}.get(v.strip().lower(), v.strip())
+
+    def kinds(rs, name):
+        return {{bool: "b", int: "i", float: "f", str: "s"}[type(r[name])] for r in rs if name in r and not gone(r[name])}
+
+    def values(rs, name, objects, at):
+        return {(o, plain(r[name])) for r in rs if name in r and not gone(r[name]) and (o := place(r, at)) in objects}
+
+    def place(r, at):
+        return None if any(gone(r.get(c)) for c in at) else tuple(plain(r[c]) for c in at)
+
+    series = {}
+    for f in sorted({f["file_id"]: f for f in files}.values(), key=lambda f: (f["release_no"], f["file_id"])):
+        if f["series"] is not None and f["file_id"] in payloads:
+            series.setdefault(f["series"], []).append(f)
+    for run in series.values():
+        for f, g in zip(run, run[1:]):
+            old, new, at = payloads[f["file_id"]], payloads[g["file_id"]], places[g["source"]]
+            objects = {place(r, at) for r in old} & {place(r, at) for r in new} - {None}
+            a, b = {k for r in old for k in r}, {k for r in new for k in r}
+            pairs, taken = {}, set()
+            for x in sorted(a - b):
+                v = values(old, x, objects, at)
+                for y in sorted(b - a - taken):
+                    if v and v == values(new, y, objects, at):
+                        pairs[x] = y
+                        taken.add(y)
+                        break
+            out |= {(g["file_id"], "renamed", x, y) for x, y in pairs.items()} | {(g["file_id"], "added", "", y) for y in b - a - taken}
+            out |= {(g["file_id"], "removed", x, "") for x in a - b - set(pairs)}
+            for x, y in [*pairs.items(), *((n, n) for n in a & b)]:
+                s, t = kinds(old, x), kinds(new, y)
+                if s and t and s != t:
+                    out.add((g["file_id"], "retyped", x, y))
+    return out
+
+
+def test_changes_against_brute_force(spark, data):
+    assert {tuple(r) for r in p2_found(spark, data).collect()} == plain_changes(data)
 
 
 def test_every_record_is_loaded_or_rejected(spark, data):
