@@ -7,11 +7,14 @@ diameter is at most twice that, and the share of links that cross clusters on a
 nothing changed, a level took 28 steps on the test data at BETA = 0.3, a shuffle each, for 16 %; with shifts limited to 5 steps it
 took 4, for 43 %. Both needed two to three times as many shuffles until no link was left.)
 
-Ids become numbers once, so that every step aggregates fixed-width values by hash.
+Ids become numbers once, so that every step aggregates fixed-width values by hash. Where the ids are those of a table, the number of
+an id is a hash that no other id of the table has, and a name is that id if two hashes of 64 bits agree (``group_table``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,11 +57,8 @@ def _grow(links: DataFrame, hot: list[int]) -> DataFrame:
     return state.select("v", "center")
 
 
-def linked(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """(id, v, group): ``group`` is a number for each group, ``v`` one for each id; otherwise as ``group_matches``."""
-    scratch = Scratch(pairs.sparkSession, "groups")
-    ends = pairs.select(F.col(a).cast("string").alias("x"), F.col(b).cast("string").alias("y")).where("x is not null and y is not null and x <> y")
-    links, vertices = numbered(scratch.keep(ends), scratch)
+def _roots(links: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """(v, center) of every end of the kept links (a, b), a < b; ``center`` is one vertex of the whole group. None if there are no links."""
     levels: list[DataFrame] = []
     left = seen(links)
     links = links.withColumn("level", F.lit(0))
@@ -76,11 +76,61 @@ def linked(pairs: DataFrame, a: str, b: str) -> DataFrame:
             clusters = moved.select("v", F.coalesce("root", "center").alias("center"))
             clusters = scratch.keep(clusters) if k == 0 else clusters
         roots = clusters
+    return roots
+
+
+def linked(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """(id, v, group): ``group`` is a number for each group, ``v`` one for each id; otherwise as ``group_matches``."""
+    scratch = Scratch(pairs.sparkSession, "groups")
+    ends = pairs.select(F.col(a).cast("string").alias("x"), F.col(b).cast("string").alias("y")).where("x is not null and y is not null and x <> y")
+    links, vertices = numbered(scratch.keep(ends), scratch)
+    roots = _roots(links, scratch)
     if roots is None:
         return vertices.select("id", "v", F.col("v").alias("group"))
     return vertices.join(roots, "v").select("id", "v", F.col("center").alias("group"))
 
 
+def id_number(c: Column, salt: int) -> Column:
+    """The number of an id under a salt: the hash of the id, seeded by the salt; null for null."""
+    return F.when(c.isNotNull(), F.xxhash64(F.lit(salt), c))
+
+
+def table_numbers(ids: DataFrame, id: str) -> Callable[[Column], Column]:
+    """The number of an id as a function, with a salt under which no two ids of the table share a number.
+
+    Up to some billion ids the first salt serves nearly always; each further one is another pass over the ids. Raises RuntimeError
+    where none of 64 serves.
+    """
+    c = F.col(id)
+    for salt in range(64):
+        twice = ids.select(id_number(c, salt).alias("v"), _second(c).alias("w")).groupBy("v").agg(F.min("w").alias("lo"), F.max("w").alias("hi"))
+        if twice.where("lo <> hi").isEmpty():
+            return lambda c: id_number(c, salt)
+    raise RuntimeError("too many ids for numbers of 64 bits")
+
+
+def _second(c: Column) -> Column:
+    """Another hash of an id, which tells ids apart that share a number."""
+    return F.xxhash64(F.lit(-1), c)
+
+
+def group_table(ids: DataFrame, id: str, named: DataFrame, number: Callable[[Column], Column]) -> DataFrame:
+    """(v, group) of every id of the table that is linked to another of them; ``v`` is its ``number`` (see ``table_numbers``).
+
+    ``named`` has v, the number of an id of the table, and value, the name it gives. Names that aren't ids of the table, null names
+    and an id's own name link nothing; repeated ids and names count once. No links give no rows.
+    """
+    scratch = Scratch(ids.sparkSession, "table-groups")
+    known = ids.select(number(F.col(id)).alias("y"), _second(F.col(id)).alias("w")).where(F.col(id).isNotNull())
+    ends = named.where("value is not null").select(F.col("v").alias("x"), number(F.col("value")).alias("y"), _second(F.col("value")).alias("w"))
+    ends = ends.where("x <> y").join(known, ["y", "w"], "left_semi")
+    links = scratch.keep(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    roots = _roots(links, scratch)
+    if roots is None:
+        return links.select(F.col("a").alias("v"), F.col("b").alias("group"))
+    return roots.select("v", F.col("center").alias("group"))
+
+
 def smallest_ids(groups: DataFrame) -> DataFrame:
     """(group, group_key): the smallest id of each group."""
     return groups.groupBy("group").agg(F.min("id").alias("group_key"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom.functions.text import nan_to_null, strip
-from skyloom.llm.groups import group_matches, linked, smallest_ids
+from skyloom.llm.groups import group_table, smallest_ids, table_numbers
 from skyloom.llm.leaks import find_leaks
 from skyloom.llm.packing import count_tokens, pack
 from skyloom.llm.survivors import Field, count_claims, discover_truth, survivors
@@ -27,28 +29,31 @@ def query(f):
     return f
 
 
-def _links(spark: SparkSession, d: str) -> DataFrame:
-    """(CRD_ID, value) where a row names another of the table and neither is a star: flag 6 links nothing."""
-    rows = table(spark, d, "crd_catalog").where(~F.coalesce(F.col("z_flag_homogenized") == 6, F.lit(False)))
-    named = packed_values(rows, "CRD_ID", "compared_to").select("CRD_ID", F.explode_outer("values").alias("value")).where("value is not null")
-    # The hash goes first, as ids that begin alike are slow to sort.
-    key = F.xxhash64("value").alias("h")
-    return named.select("*", key).join(rows.select(F.col("CRD_ID").alias("value")).select("value", key), ["h", "value"], "left_semi").select("CRD_ID", "value")
+def _grouped(spark: SparkSession, d: str) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """(v, group) of the catalog's ids that are linked, and what gives ``v`` for an id. Flag 6, a star, links nothing."""
+    catalog = table(spark, d, "crd_catalog")
+    number = table_numbers(catalog, "CRD_ID")
+    rows = catalog.where(~F.coalesce(F.col("z_flag_homogenized") == 6, F.lit(False)))
+    named = packed_values(rows.select(number(F.col("CRD_ID")).alias("v"), "compared_to"), "v", "compared_to")
+    return group_table(rows, "CRD_ID", named.select("v", F.explode_outer("values").alias("value")), number), number
 
 
 @query
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return group_matches(_links(spark, d), "CRD_ID", "value").select(F.col("id").alias("CRD_ID"), "group_key")
+    groups, number = _grouped(spark, d)
+    # Copies of a row are where the join put them, so that dropping them shuffles nothing.
+    ids = table(spark, d, "crd_catalog").select(number(F.col("CRD_ID")).alias("v"), F.col("CRD_ID").alias("id"))
+    members = Scratch(spark, "members").keep(ids.join(groups, "v").distinct().select("id", "group"))
+    return lookup(members, smallest_ids(members), "group", hot_keys(members, "group", seen(members))).select(F.col("id").alias("CRD_ID"), "group_key")
 
 
 def _members(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, list[int]]:
-    """The catalog's rows that are in groups, with a number for the group; (group, group_key); and the hot groups."""
-    groups = Scratch(spark, "members").keep(linked(_links(spark, d), "CRD_ID", "value").select("id", "group"))
-    rows = table(spark, d, "crd_catalog").select(F.col("CRD_ID").alias("id"), "source", "z", "z_flag_homogenized", "instrument_type_homogenized")
-    key = F.xxhash64("id").alias("h")  # ids that begin alike are slow to sort
-    # Copies of a row are where the join put them, so that dropping them shuffles nothing.
-    rows = rows.select("*", key).join(groups.select("*", key), ["h", "id"]).distinct().drop("h")
-    return rows, smallest_ids(groups), hot_keys(groups, "group", seen(groups))
+    """The catalog's distinct rows that are in groups, with a number for the group, kept; (group, group_key); and the hot groups."""
+    groups, number = _grouped(spark, d)
+    wanted = "source", "z", "z_flag_homogenized", "instrument_type_homogenized"
+    rows = table(spark, d, "crd_catalog").select(number(F.col("CRD_ID")).alias("v"), F.col("CRD_ID").alias("id"), *wanted)
+    rows = Scratch(spark, "members").keep(rows.join(groups, "v").distinct().drop("v"))
+    return rows, smallest_ids(rows), hot_keys(rows, "group", seen(rows))
 
 
 def _rank(kind: Column) -> Column:

@@ -54,6 +54,33 @@ def test_ids_that_share_a_hash(spark, monkeypatch):
     assert grouped(spark, CASES["random"]) == plain_groups(CASES["random"])
 
 
+def in_table(spark, ids, named):
+    table = spark.createDataFrame([(i,) for i in ids], "id string")
+    number = groups.table_numbers(table, "id")
+    names = spark.createDataFrame(named, "id string, value string").select(number(F.col("id")).alias("v"), "value")
+    got = groups.group_table(table, "id", names, number)
+    return {r["id"]: r["group"] for r in table.distinct().join(got, number(F.col("id")) == got["v"]).collect()}, number
+
+
+@pytest.mark.parametrize("salted", [False, True])
+def test_groups_of_a_table(spark, monkeypatch, salted):
+    if salted:  # the first salts give numbers that ids share
+        right = groups.id_number
+        monkeypatch.setattr(groups, "id_number", lambda c, salt: F.pmod(right(c, salt), F.lit(11)) if salt < 2 else right(c, salt))
+    ids = [f"r{i}" for i in range(500) if i % 7] + ["r1", "r1", None, "alone"]
+    named = [p for p in CASES["random"] if p[0] in ids] + [("r1", None), (None, "r2"), ("r3", "r3"), ("r4", "some object"), ("r5", "r7"), ("r5", "r14")]
+    got, number = in_table(spark, ids, named)
+    expected = plain_groups([p for p in named if p[0] in ids and p[1] in ids])
+    assert set(got) == set(expected)
+    assert len({(got[i], expected[i]) for i in got}) == len(set(got.values())) == len(set(expected.values()))
+    assert not salted or number(F.lit("r1"))._jc.toString() == right(F.lit("r1"), 2)._jc.toString()
+
+
+@pytest.mark.parametrize("ids, named", [([], []), ([None], [(None, "a")]), (["a"], [("a", "b"), ("a", "a")])])
+def test_a_table_without_links(spark, ids, named):
+    assert in_table(spark, ids, named)[0] == {}
+
+
 def test_share_of_crossing_links_on_a_long_chain(spark):
     n = 100_000
     links = spark.range(n).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"), F.lit(0).alias("level"))
