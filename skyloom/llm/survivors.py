@@ -24,7 +24,10 @@ from skyloom.session import Scratch, seen
 
 @dataclass
 class Field:
-    """A field to decide: ``value`` (what is voted on; null is a value like any other) and ``trust`` (larger wins before any vote)."""
+    """A field to decide: ``value`` (what is voted on; null is a value like any other) and ``trust`` (larger wins before any vote).
+
+    ``trust`` is a function of the value: equal values of a field have equal trust.
+    """
 
     name: str
     value: Column
@@ -48,14 +51,19 @@ def discover_truth(claims: DataFrame, fields: Sequence[tuple[str, str]], toleran
         # One order serves all windows: candidates for a field have the values decided before in common.
         values = [v for v, _ in fields]
         voted = voted.repartition("group").sortWithinPartitions("group", *values)
-        voted = voted.withColumns({"_alive": F.lit(True), "_judged": F.lit(0), "_agreed": F.lit(0)})
+        # Rows alike in the first k values are candidates for the next field together, so the best combination is the largest at once.
+        order = []
         for k, (value, trust) in enumerate(fields):
-            voted = voted.withColumn("_votes", F.sum(F.when(F.col("_alive"), F.col("n") * F.col("weight"))).over(W.partitionBy("group", *values[: k + 1])))
-            voted = voted.withColumn("_best", F.max(F.when(F.col("_alive"), F.struct(trust, "_votes", value))).over(group))
-            agrees = F.col("_alive") & F.col(value).eqNullSafe(F.col(f"_best.{value}"))
-            voted = voted.withColumn("_judged", F.col("_judged") + F.col("_alive").cast("int")).withColumn("_alive", agrees)
-            voted = voted.withColumn("_agreed", F.col("_agreed") + agrees.cast("int")).drop("_votes", "_best")
-        judged = scratch.keep(voted.drop("weight"))
+            voted = voted.withColumn(f"_votes{k}", F.sum(F.col("n") * F.col("weight")).over(W.partitionBy("group", *values[: k + 1])))
+            order += [trust, f"_votes{k}", value]
+        voted = voted.withColumn("_best", F.max(F.struct(*order)).over(group))
+        alive, judged, agreed = F.lit(True), F.lit(0), F.lit(0)
+        for value, _ in fields:
+            judged = judged + alive.cast("int")
+            alive = alive & F.col(value).eqNullSafe(F.col(f"_best.{value}"))
+            agreed = agreed + alive.cast("int")
+        voted = voted.select(*claims.columns, alive.alias("_alive"), judged.alias("_judged"), agreed.alias("_agreed"))
+        judged = scratch.keep(voted)
         new = judged.groupBy("source").agg(((F.sum(F.col("n") * F.col("_agreed")) + 1.0) / (F.sum(F.col("n") * F.col("_judged")) + 2.0)).alias("weight"))
         if weights is None:
             weights, moved = scratch.keep(new), 1.0
@@ -89,10 +97,13 @@ def survivors(members: DataFrame, fields: Sequence[Field], x: Column, gap: float
     rows = scratch.keep(rows.distinct() if repeated else rows)
     claims = scratch.keep(count_claims(rows, [Field(f.name, F.col(v), F.col(t)) for f, (v, t) in zip(fields, names)]))
     won, _, _ = discover_truth(claims, names)
-    best = won.select("group", *[F.col(v).alias(f"b{v}") for v, _ in names]).distinct()
+    # ``n`` of the claims that won are the candidates of a group: a single one needs no thinning.
+    best = won.groupBy("group", *[F.col(v).alias(f"b{v}") for v, _ in names]).agg(F.sum("n").alias("m"))
     held = lookup(rows, best, "group", list(hot))
     for v, _ in names:
         held = held.where(F.col(v).eqNullSafe(F.col(f"b{v}")))
-    left = scratch.keep(pieces(scratch.keep(held.select("group", "id", "x")), gap).distinct())
+    held = scratch.keep(held.select("group", "id", "x", "m"))
+    left = scratch.keep(pieces(held.where("m > 1").select("group", "id", "x"), gap).distinct())
     counts = left.groupBy("group").agg(F.count(F.lit(1)).alias("k"))
-    return lookup(left, counts, "group", list(hot)).select("group", "id", F.when(F.col("k") == 1, 1).otherwise(2).alias("tie_result"))
+    thinned = lookup(left, counts, "group", list(hot)).select("group", "id", F.when(F.col("k") == 1, 1).otherwise(2).alias("tie_result"))
+    return held.where("m = 1").select("group", "id", F.lit(1).alias("tie_result")).unionAll(thinned)
