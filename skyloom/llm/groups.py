@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from skyloom.operators.graph import numbered
 from skyloom.operators.joins import hot_keys, lookup
-from skyloom.session import Scratch, seen
+from skyloom.session import Scratch, seen, shuffles_freed
 
 #: Rate of the exponential shifts.
 BETA = 0.05
@@ -58,9 +58,12 @@ def _grow(links: DataFrame, hot: list[int]) -> DataFrame:
 
 
 def _roots(links: DataFrame, scratch: Scratch) -> DataFrame | None:
-    """(v, center) of every end of the kept links (a, b), a < b; ``center`` is one vertex of the whole group. None if there are no links."""
+    """(v, center) of every end of the kept links (a, b), a < b; ``center`` is one vertex of the whole group. None if there are no links.
+
+    Every table is dropped with the last plan that reads it, the given links too if there are any.
+    """
     levels: list[DataFrame] = []
-    left = seen(links)
+    left, kept = seen(links), links
     links = links.withColumn("level", F.lit(0))
     while left:
         hot = hot_keys(_both(links), "u", 2 * left)
@@ -68,7 +71,8 @@ def _roots(links: DataFrame, scratch: Scratch) -> DataFrame | None:
         levels.append(clusters)
         between = lookup(lookup(links, clusters.toDF("a", "ca"), "a", hot), clusters.toDF("b", "cb"), "b", hot).where("ca <> cb")
         after = scratch.keep(between.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"), (F.col("level") + 1).alias("level")).distinct())
-        links, left = after, seen(after)
+        scratch.drop(kept)
+        links, kept, left = after, after, seen(after)
     roots = None
     for k, clusters in reversed(list(enumerate(levels))):
         if roots is not None:
@@ -76,6 +80,8 @@ def _roots(links: DataFrame, scratch: Scratch) -> DataFrame | None:
             clusters = moved.select("v", F.coalesce("root", "center").alias("center"))
             clusters = scratch.keep(clusters) if k == 0 else clusters
         roots = clusters
+    if len(levels) > 1:
+        scratch.drop(*levels)
     return roots
 
 
@@ -104,7 +110,9 @@ def table_numbers(ids: DataFrame, id: str) -> Callable[[Column], Column]:
     c = F.col(id)
     for salt in range(64):
         twice = ids.select(id_number(c, salt).alias("v"), _second(c).alias("w")).groupBy("v").agg(F.min("w").alias("lo"), F.max("w").alias("hi"))
-        if twice.where("lo <> hi").isEmpty():
+        with shuffles_freed(ids.sparkSession):
+            alone = twice.where("lo <> hi").isEmpty()
+        if alone:
             return lambda c: id_number(c, salt)
     raise RuntimeError("too many ids for numbers of 64 bits")
 
@@ -114,13 +122,14 @@ def _second(c: Column) -> Column:
     return F.xxhash64(F.lit(-1), c)
 
 
-def group_table(ids: DataFrame, id: str, named: DataFrame, number: Callable[[Column], Column]) -> DataFrame:
+def group_table(ids: DataFrame, id: str, named: DataFrame, number: Callable[[Column], Column], scratch: Scratch | None = None) -> DataFrame:
     """(v, group) of every id of the table that is linked to another of them; ``v`` is its ``number`` (see ``table_numbers``).
 
     ``named`` has v, the number of an id of the table, and value, the name it gives. Names that aren't ids of the table, null names
-    and an id's own name link nothing; repeated ids and names count once. No links give no rows.
+    and an id's own name link nothing; repeated ids and names count once. No links give no rows. ``scratch`` holds the result, so that
+    the caller can clear it.
     """
-    scratch = Scratch(ids.sparkSession, "table-groups")
+    scratch = scratch or Scratch(ids.sparkSession, "table-groups")
     known = ids.select(number(F.col(id)).alias("y"), _second(F.col(id)).alias("w")).where(F.col(id).isNotNull())
     ends = named.where("value is not null").select(F.col("v").alias("x"), number(F.col("value")).alias("y"), _second(F.col("value")).alias("w"))
     ends = ends.where("x <> y").join(known, ["y", "w"], "left_semi")

@@ -29,30 +29,34 @@ def query(f):
     return f
 
 
-def _grouped(spark: SparkSession, d: str) -> tuple[DataFrame, Callable[[Column], Column]]:
-    """(v, group) of the catalog's ids that are linked, and what gives ``v`` for an id. Flag 6, a star, links nothing."""
+def _grouped(spark: SparkSession, d: str, scratch: Scratch) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """(v, group) of the catalog's ids that are linked, held by ``scratch``, and what gives ``v`` for an id. Flag 6, a star, links nothing."""
     catalog = table(spark, d, "crd_catalog")
     number = table_numbers(catalog, "CRD_ID")
     rows = catalog.where(~F.coalesce(F.col("z_flag_homogenized") == 6, F.lit(False)))
     named = packed_values(rows.select(number(F.col("CRD_ID")).alias("v"), "compared_to"), "v", "compared_to")
-    return group_table(rows, "CRD_ID", named.select("v", F.explode_outer("values").alias("value")), number), number
+    return group_table(rows, "CRD_ID", named.select("v", F.explode_outer("values").alias("value")), number, scratch), number
 
 
 @query
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    groups, number = _grouped(spark, d)
+    scratch = Scratch(spark, "table-groups")
+    groups, number = _grouped(spark, d, scratch)
     # Copies of a row are where the join put them, so that dropping them shuffles nothing.
     ids = table(spark, d, "crd_catalog").select(number(F.col("CRD_ID")).alias("v"), F.col("CRD_ID").alias("id"))
     members = Scratch(spark, "members").keep(ids.join(groups, "v").distinct().select("id", "group"))
+    scratch.clear()
     return lookup(members, smallest_ids(members), "group", hot_keys(members, "group", seen(members))).select(F.col("id").alias("CRD_ID"), "group_key")
 
 
 def _members(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, list[int]]:
     """The catalog's distinct rows that are in groups, with a number for the group, kept; (group, group_key); and the hot groups."""
-    groups, number = _grouped(spark, d)
+    scratch = Scratch(spark, "table-groups")
+    groups, number = _grouped(spark, d, scratch)
     wanted = "source", "z", "z_flag_homogenized", "instrument_type_homogenized"
     rows = table(spark, d, "crd_catalog").select(number(F.col("CRD_ID")).alias("v"), F.col("CRD_ID").alias("id"), *wanted)
     rows = Scratch(spark, "members").keep(rows.join(groups, "v").distinct().drop("v"))
+    scratch.clear()
     return rows, smallest_ids(rows), hot_keys(rows, "group", seen(rows))
 
 

@@ -34,14 +34,15 @@ class Field:
     trust: Column
 
 
-def discover_truth(claims: DataFrame, fields: Sequence[tuple[str, str]], tolerance: float = 1e-3) -> tuple[DataFrame, DataFrame, int]:
+def discover_truth(claims: DataFrame, fields: Sequence[tuple[str, str]], tolerance: float = 1e-3, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame, int]:
     """The claims that carry the best-supported value of every field in their group, the reliabilities (source, weight), and the rounds taken.
 
     ``claims`` has group, source and n (how often), and for each field the columns of value and trust named. Sources start equally
     reliable; a source's weight is (agreeing claims + 1) / (claims + 2). Equal support goes to the larger value. A claim without source
     is of a source of its own. From the tenth round on each step is half the one before, so that weights that would swing settle too.
+    ``scratch`` holds the results, so that the caller can clear it.
     """
-    scratch = Scratch(claims.sparkSession, "truth")
+    scratch = scratch or Scratch(claims.sparkSession, "truth")
     group = W.partitionBy("group")
     claims = claims.withColumn("source", F.coalesce("source", F.lit("")))
     weights, rounds = None, 0
@@ -88,21 +89,25 @@ def count_claims(members: DataFrame, fields: Sequence[Field]) -> DataFrame:
 def survivors(members: DataFrame, fields: Sequence[Field], x: Column, gap: float, hot: Sequence[int] = (), repeated: bool = True) -> DataFrame:
     """(group, id, tie_result) of the surviving rows of each group; ``tie_result`` is 1 for a single survivor, else 2.
 
-    ``members`` has group, id and source and the columns that the fields use. Repeated rows count once; ``repeated`` says whether there may be some. After the fields, several
+    ``members`` has group, id and source and the columns that the fields use. Repeated rows count once; ``repeated`` says whether there may be some; if not, ``members`` is read twice as it is. After the fields, several
     candidates are thinned by ``pieces``. ``hot``: groups with so many rows that they aren't shuffled by group (see ``hot_keys``). A group whose rows have no value in any field keeps all its candidates up to that step.
     """
-    scratch = Scratch(members.sparkSession, "survivors")
+    scratch, truth = Scratch(members.sparkSession, "survivors"), Scratch(members.sparkSession, "truth")
     names = [(f"v{i}", f"t{i}") for i in range(len(fields))]
     rows = members.select("group", "id", "source", x.alias("x"), *[c.alias(n) for f, (v, t) in zip(fields, names) for c, n in ((f.value, v), (f.trust, t))])
-    rows = scratch.keep(rows.distinct() if repeated else rows)
+    rows = scratch.keep(rows.distinct()) if repeated else rows
     claims = scratch.keep(count_claims(rows, [Field(f.name, F.col(v), F.col(t)) for f, (v, t) in zip(fields, names)]))
-    won, _, _ = discover_truth(claims, names)
+    won, _, _ = discover_truth(claims, names, scratch=truth)
+    scratch.drop(claims)
     # ``n`` of the claims that won are the candidates of a group: a single one needs no thinning.
     best = won.groupBy("group", *[F.col(v).alias(f"b{v}") for v, _ in names]).agg(F.sum("n").alias("m"))
     held = lookup(rows, best, "group", list(hot))
     for v, _ in names:
         held = held.where(F.col(v).eqNullSafe(F.col(f"b{v}")))
     held = scratch.keep(held.select("group", "id", "x", "m"))
+    truth.clear()
+    if repeated:
+        scratch.drop(rows)
     left = scratch.keep(pieces(held.where("m > 1").select("group", "id", "x"), gap).distinct())
     counts = left.groupBy("group").agg(F.count(F.lit(1)).alias("k"))
     thinned = lookup(left, counts, "group", list(hot)).select("group", "id", F.when(F.col("k") == 1, 1).otherwise(2).alias("tie_result"))

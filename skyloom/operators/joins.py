@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.session import shuffles_freed
+
 #: A key is hot if it holds more than one in so many rows; so there are fewer hot keys than this.
 HOT_PARTS = 200
 #: Fewer rows than this are small work for one task, so that hot keys aren't looked for.
@@ -15,8 +17,9 @@ def hot_keys(df: DataFrame, key: str, total: int) -> list:
     """The keys that hold more than 1 / HOT_PARTS of all ``total`` rows, fewer than HOT_PARTS of them."""
     if total < HOT_FROM:
         return []
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return [r[0] for r in sizes.where((F.col("_n") * HOT_PARTS > total) & F.col(key).isNotNull()).select(key).collect()]
+    with shuffles_freed(df.sparkSession):
+        sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        return [r[0] for r in sizes.where((F.col("_n") * HOT_PARTS > total) & F.col(key).isNotNull()).select(key).collect()]
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, hot: list, how: str = "inner") -> DataFrame:

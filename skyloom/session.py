@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -62,11 +64,32 @@ def write_note(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+#: Spark's setting by which a plan's shuffle files are deleted as it ends.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What is built and run within deletes its shuffle files as it ends, not only when the driver happens to collect its garbage.
+
+    A frame built within should run once: run again, it computes its shuffles anew.
+    """
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREED)
+        else:
+            spark.conf.set(FREED, before)
+
+
 class Scratch:
     """Tables written once to the shared folder, so that a lost executor costs no recomputation.
 
-    ``keep`` writes and reads back a frame; ``drop`` deletes one that no later plan reads. What is left is deleted when the application
-    ends.
+    ``keep`` writes and reads back a frame; ``drop`` deletes those that no later plan reads, ``clear`` all of them. What is left is
+    deleted when the application ends.
     """
 
     def __init__(self, spark: SparkSession, label: str):
@@ -82,7 +105,8 @@ class Scratch:
         self.n += 1
         path = f"{self.base}/{self.n}"
         counted = Observation()
-        df.observe(counted, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]).write.parquet(path)
+        with shuffles_freed(self.spark):
+            df.observe(counted, F.count(F.lit(1)).alias("rows"), *[m.alias(n) for n, m in metrics.items()]).write.parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
         kept._scratch_path, kept._seen = path, counted.get
         return kept
@@ -92,6 +116,10 @@ class Scratch:
             fs, at = _file_system(self.spark, df._scratch_path)
             fs.delete(at, True)
 
+    def clear(self) -> None:
+        fs, at = _file_system(self.spark, self.base)
+        fs.delete(at, True)
+
 
 def seen(kept: DataFrame, metric: str = "rows"):
     """What was counted while a kept frame was written; 0 rows means that it is empty."""
