@@ -38,6 +38,8 @@ def _shift(v: str) -> Column:
 
 
 def _both(links: DataFrame) -> DataFrame:
+    # No end is null; said here, so that Spark doesn't say it in some readers only, whose shuffles would differ by that from the others'.
+    links = links.where("a is not null and b is not null")
     return links.select(F.col("a").alias("u"), F.col("b").alias("v"), "level").unionAll(links.select(F.col("b").alias("u"), F.col("a").alias("v"), "level"))
 
 

@@ -52,3 +52,12 @@ def test_p5_keeps_only_what_its_result_reads(spark, data):
     out = QUERIES["p5_found"](spark, data)
     assert tables() - before == {Path(f.removeprefix("file://").removeprefix("file:")).parent for f in out.inputFiles()}
     assert out.count() == out.count() > 0
+
+
+def test_the_first_step_of_growth_is_shuffled_once(spark):
+    from skyloom.llm.groups import _grow
+
+    links = Scratch(spark, "test").keep(spark.range(5000).select(F.col("id").alias("a"), (F.col("id") + F.col("id") % 7 + 1).alias("b"))).withColumn("level", F.lit(0))
+    grown = _grow(links, [])
+    assert len(grown.collect()) == links.select("a").union(links.select("b")).distinct().count()
+    assert grown._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0].count("ReusedExchange") == 1
