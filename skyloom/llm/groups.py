@@ -46,13 +46,24 @@ def _both(links: DataFrame) -> DataFrame:
 def _grow(links: DataFrame, hot: list[int]) -> DataFrame:
     """(v, center) of every vertex that has a link."""
     both = _both(links)
+    if not hot:  # the links of a vertex lie together for all that it hears and tells, and are shuffled once for both
+        both = both.repartition("u")
     earliest = (F.min("key").alias("key"), F.min_by("center", "key").alias("center"))
     # In the first step a vertex hears the start times of its neighbors, which it can draw itself from their names.
-    first = both.select("v", (1.0 - _shift("u")).alias("key"), F.col("u").alias("center"), "level").groupBy("v").agg(*earliest, F.max("level").alias("level"))
-    own = -_shift("v")
+    starts = 1.0 - _shift("v")
+    first = both.groupBy("u").agg(F.min(starts).alias("key"), F.min_by("v", starts).alias("center"), F.min("v").alias("least"), F.max("level").alias("level"))
+    own = -_shift("u")
     joins = F.col("key") < own
-    state = first.select("v", F.when(joins, F.col("key")).otherwise(own).alias("key"), F.when(joins, F.col("center")).otherwise(F.col("v")).alias("center"))
-    for _ in range(STEPS - 1):
+    after = F.when(joins, F.col("key")).otherwise(own).alias("key"), F.when(joins, F.col("center")).otherwise(F.col("u")).alias("center")
+    if STEPS == 1:
+        return first.select(F.col("u").alias("v"), after[1])
+    # In the second it tells each neighbor what it heard, and itself once, beside the first of them.
+    told = lookup(both, first.drop("level"), "u", hot).select("u", "v", "least", *after)
+    itself = F.struct(F.col("u").alias("v"), "key", "center")
+    others = F.struct("v", (F.col("key") + 1.0).alias("key"), "center")
+    alone, news = F.col("v") == F.col("least"), F.col("center") != F.col("u")
+    state = told.select(F.inline(F.when(alone & news, F.array(itself, others)).when(alone, F.array(itself)).when(news, F.array(others)))).groupBy("v").agg(*earliest)
+    for _ in range(STEPS - 2):
         news = state.where("center <> v").select(F.col("v").alias("u"), (F.col("key") + 1.0).alias("key"), "center")
         heard = lookup(both, news, "u", hot).select("v", "key", "center")
         state = heard.unionAll(state).groupBy("v").agg(*earliest)

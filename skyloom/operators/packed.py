@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions.text import BLANKS, INVISIBLE, is_na_token, strip
-from skyloom.session import Scratch, seen
+from skyloom.session import Scratch, seen, shuffles_freed
 
 # The delimiters and quotes that a dialect may use; "s" stands for a run of blanks.
 DELIMITERS = {",": ",，", ";": ";；", "|": "|", "/": "/", "s": None}
@@ -30,7 +30,8 @@ QUOTES = ("\"", "'")
 BRACKETS = "[]{}()"
 
 _PY_BLANK = r"\s\u0085"
-_JAVA_BLANK = BLANKS
+# The signs of BLANKS, in ranges: Java tries the parts of a class one after another.
+_JAVA_BLANK = "\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 #: Signs that may cling to a value besides the common blanks: brackets and the other blanks.
 _UNUSUAL = "[\\[\\]{}()" + "".join(c for c in BLANKS if c not in " \t\r\n\xa0") + "]"
@@ -135,6 +136,12 @@ def _divided(field: Column, dialect: Column) -> Column:
     return out
 
 
+def _regexes(chosen: DataFrame) -> list[str]:
+    """The regexes in use, no more than there are dialects with quotes. Each has a place of its own in the plan, so none is compiled row by row."""
+    with shuffles_freed(chosen.sparkSession):
+        return sorted(r[0] for r in chosen.where("regex is not null").select("regex").distinct().collect())
+
+
 def packed_values(df: DataFrame, key: str, field: str) -> DataFrame:
     """(key, values): the values of each row's field in order, null fields left out; the rest as in ``split_packed``.
 
@@ -143,7 +150,8 @@ def packed_values(df: DataFrame, key: str, field: str) -> DataFrame:
     """
     spark = df.sparkSession
     rows = df.select(F.col(key).alias("key"), cleaned(F.col(field)).alias("field"), F.col(field).alias("raw")).where("raw is not null").drop("raw")
-    rows = rows.withColumn("pattern", pattern_of(F.col("field")))
+    # No pattern is null; said here, else the join would test it and parse every field twice.
+    rows = rows.withColumn("pattern", F.coalesce(pattern_of(F.col("field")), F.lit("")))
     patterns = rows.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
     scratch = Scratch(spark, "packed")
     size = F.sum(F.octet_length("pattern") + F.coalesce(F.octet_length("regex"), F.lit(0)) + 64)
@@ -155,9 +163,13 @@ def packed_values(df: DataFrame, key: str, field: str) -> DataFrame:
         joined = salted.join(chosen.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["salt", "pattern"])
     # Without quotes and brackets every separator separates, and what lies between is a value as it stands.
     plain = _divided(F.col("field"), F.col("dialect"))
-    quoted = F.filter(F.transform(F.regexp_extract_all("field", F.col("regex"), F.lit(0)), unquoted), lambda v: v != "")
     bare = F.filter(F.transform(plain, unquoted), lambda v: v != "")
-    values = F.when(F.col("regex").isNotNull(), quoted).when(F.col("unusual"), bare).otherwise(plain)
+    values = F.when(F.col("unusual"), bare).otherwise(plain)
+    if regexes := _regexes(chosen):
+        tokens = F
+        for regex in regexes:
+            tokens = tokens.when(F.col("regex") == regex, F.regexp_extract_all("field", F.lit(regex), F.lit(0)))
+        values = F.when(F.col("regex").isNotNull(), F.filter(F.transform(tokens, unquoted), lambda v: v != "")).otherwise(values)
     # Only fields with the letters of a missing-value token can hold one.
     low = F.lower("field")
     values = F.when(low.contains("na") | low.contains("null") | low.contains("none"), F.filter(values, lambda v: ~is_na_token(v))).otherwise(values)

@@ -134,3 +134,19 @@ def test_reliable_sources_outvote_a_majority_of_poor_ones(spark):
     trusted = claims.withColumn("trust", F.when((F.col("group") == "hard") & (F.col("value") == 2), 1).otherwise(0))
     assert {r["value"] for r in discover_truth(trusted, [("value", "trust")])[0].where("group = 'hard'").collect()} == {2}
     assert discover_truth(claims.limit(0), [("value", "trust")])[0].isEmpty()
+
+
+def test_hot_keys_are_exact_whatever_the_buckets(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_FROM", 0)
+    keys = spark.createDataFrame([("a",)] * 300 + [(None,)] * 300 + [("b",)] * 6 + [("c",)] * 5 + [(f"k{i}",) for i in range(589)], "u string")
+    for buckets in (1, 7, 1 << 14):
+        monkeypatch.setattr(joins, "BUCKETS", buckets)
+        assert sorted(joins.hot_keys(keys, "u", 1200)) == ["a"]
+        assert sorted(joins.hot_keys(keys, "u", 1100)) == ["a", "b"]
+    assert joins.hot_keys(keys.where("u > 'd'"), "u", 1200) == []
+
+
+def test_the_links_of_a_vertex_are_shuffled_once_for_hearing_and_telling(spark):
+    links = spark.range(5000).select(F.col("id").alias("a"), (F.col("id") + F.col("id") % 7 + 1).alias("b"), F.lit(0).alias("level"))
+    plan = groups._grow(links, [])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(v#") == 1 and "Exchange hashpartitioning(u#" in plan

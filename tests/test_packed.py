@@ -3,6 +3,7 @@ import re
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from skyloom.operators import packed
 from skyloom.operators.packed import split_packed
@@ -76,3 +77,17 @@ def test_whole_column_against_a_plain_parser(spark, data, scale):
                 n += 1
                 expected.add((r[0], n, v))
     assert {tuple(r) for r in p1_found(spark, data).collect()} == expected
+
+
+def test_no_field_is_parsed_twice(spark):
+    df = spark.createDataFrame([(1, "a1, b2"), (2, "'a1'; 'b2'"), (3, '"a, b" "c"'), (4, None)], "k int, f string")
+    out = packed.packed_values(df, "k", "f")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "regexp_replace" in line]
+    assert "regexp_extract_all(field#" in plan and ", regex#" not in plan.split("regexp_extract_all(", 1)[1].split(")")[0]
+    assert {r["k"]: r["values"] for r in out.collect()} == {1: ["a1", "b2"], 2: ["a1", "b2"], 3: ["a, b", "c"]}
+
+
+def test_blanks_in_ranges_are_the_blanks(spark):
+    signs = spark.range(1, 0xD800).select(F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("c"))
+    assert {r["c"] for r in signs.where(F.col("c").rlike(f"^[{packed._JAVA_BLANK}]$")).collect()} == set(packed.BLANKS) != set(packed._JAVA_BLANK)
